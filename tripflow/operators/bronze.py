@@ -15,10 +15,14 @@ def with_month(raw: DataFrame) -> DataFrame:
 
 
 def with_lineage(raw: DataFrame) -> DataFrame:
-    added = {"ingestion_timestamp": F.current_timestamp()}
-    if "source_file" not in raw.columns:
-        added["source_file"] = F.col("_metadata.file_path")
-    return raw.transform(with_month).withColumns(added)
+    """Add month, time and file. Apply it to a scan: a shuffle forgets the file.
+
+    ``input_file_name()`` survives a union of scans and is pruned where unused,
+    unlike ``_metadata.file_path``.
+    """
+    return raw.transform(with_month).withColumns(
+        {"ingestion_timestamp": F.current_timestamp(), "source_file": F.input_file_name()}
+    )
 
 
 def rows_per_file(bronze: DataFrame) -> DataFrame:

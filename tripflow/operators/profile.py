@@ -1,16 +1,18 @@
-"""Column profiles: counts, moments, range and exact quartiles."""
+"""Column profiles: counts, moments, range and exact quartiles.
+
+The columns are unpivoted to (column number, value) rows, so that one small
+aggregate serves all of them; a wide one outgrows what the JVM compiles.
+"""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from tripflow.functions.totals import TripTotals
-
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 
 
@@ -25,24 +27,28 @@ def first_rows(rows: DataFrame, n: int = 5, order_by: Sequence[str] = ()) -> Dat
 def describe(
     rows: DataFrame, columns: Sequence[str], units: Mapping[str, int] | None = None
 ) -> DataFrame:
-    """One row per column: non-null count, mean, sample stddev, min, max."""
-    totals = TripTotals(units)
-    statistics = rows.agg(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(name).alias("column_name"),
-                    totals.known(name).alias("value_count"),
-                    totals.mean(name).cast("double").alias("mean"),
-                    F.stddev(name).alias("stddev"),
-                    totals.lowest(name).cast("double").alias("min"),
-                    totals.highest(name).cast("double").alias("max"),
-                )
-                for name in columns
-            ]
-        ).alias("statistics")
+    """One row per column: non-null count, mean, sample stddev, min, max.
+
+    ``units`` as in :mod:`tripflow.functions.totals`.
+    """
+    value = F.col("value")
+    mean = F.avg(value)
+    if units:
+        unit = _by_column([units.get(name) for name in columns], "long")
+        exact_sum = F.sum(F.rint(value * unit).cast("long")) / F.first(unit).cast("double")
+        mean = F.coalesce(F.try_divide(exact_sum, F.count(value)), mean)
+    return (
+        _unpivoted(rows, columns)
+        .groupBy("column")
+        .agg(
+            F.count(value).alias("value_count"),
+            mean.alias("mean"),
+            F.stddev(value).alias("stddev"),
+            F.min(value).alias("min"),
+            F.max(value).alias("max"),
+        )
+        .transform(_named, columns)
     )
-    return statistics.select(F.inline("statistics"))
 
 
 def summary(
@@ -64,83 +70,86 @@ def exact_quantiles(
     probabilities: Mapping[str, float],
     accuracy: int = 10_000,
 ) -> DataFrame:
-    """One row per column with linearly interpolated quantiles; null without values.
+    """One row per column that has values, with linearly interpolated quantiles.
 
-    A sketch first encloses each quantile between two values. A second pass
-    counts rows value by value inside these brackets and as a lump elsewhere, so
-    only about ``4/accuracy`` of the distinct values per quantile are ever
-    sorted, and no task holds the values of a whole column.
+    Two passes over the table. A sketch encloses each quantile between two
+    values; then rows are counted value by value inside these brackets and as a
+    lump outside, so only about ``8/accuracy`` of a column's rows per quantile
+    are ever sorted, and no task holds the values of a whole column.
     """
-    values = rows.select(*[F.col(name).cast("double").alias(name) for name in columns])
-    counts = values.agg(*[F.count(name).alias(name) for name in columns]).first()
-    known = {name: counts[name] for name in columns if counts[name]}
-    sketches = _sketches(values, known, probabilities, accuracy)
-
-    counted = [
-        _count_around(values, name, sketches[name]).withColumns(
-            {
-                f"{quantile}_position": F.lit(p * (n - 1)).cast("double")
-                for quantile, p in probabilities.items()
-            }
-        )
-        for name, n in known.items()
-    ]
-    if not counted:
-        nothing = values.sparkSession.range(0).select(F.lit("").alias("column_name"))
-        return nothing.withColumns({q: F.lit(None).cast("double") for q in probabilities})
-
-    in_order = Window.partitionBy("column_name").orderBy("value")
-    ranked = reduce(DataFrame.unionByName, counted).withColumn(
-        "through", F.sum("copies").over(in_order)
+    values = _unpivoted(rows, columns).where("value IS NOT NULL")
+    brackets, positions = _enclose(values, len(columns), list(probabilities.values()), accuracy)
+
+    value = F.col("value")
+    inside, gap = F.lit(False), F.lit(0)
+    for low, high in brackets:
+        inside = inside | value.between(_by_column(low), _by_column(high))
+        gap = gap + (value > _by_column(high)).cast("int")
+    counted = values.groupBy(
+        "column", F.when(inside, value).alias("kept"), F.when(~inside, gap).alias("gap")
+    ).agg(F.min(value).alias("value"), F.count(F.lit(1)).alias("copies"))
+
+    in_order = Window.partitionBy("column").orderBy("value")
+    ranked = counted.withColumn("through", F.sum("copies").over(in_order)).withColumns(
+        {name: _by_column(at) for name, at in zip(probabilities, positions)}
     )
-    return ranked.groupBy("column_name").agg(
-        *[_interpolated(f"{quantile}_position").alias(quantile) for quantile in probabilities]
+    quantiles = ranked.groupBy("column").agg(
+        *[_interpolated(name).alias(name) for name in probabilities]
     )
+    return _named(quantiles, columns)
 
 
-def _sketches(
-    values: DataFrame, known: Mapping[str, int], probabilities: Mapping[str, float], accuracy: int
-) -> dict[str, list[tuple[float, float]]]:
-    """For each column and quantile two values that enclose it."""
-    if not known:
-        return {}
-    bounds = {}
-    for name, n in known.items():
-        # Twice the rank error of the sketch, and two rows for interpolation.
-        margin = 2.0 / accuracy + 2.0 / n
-        bounds[name] = [
-            min(max(p + side, 0.0), 1.0)
-            for p in probabilities.values()
-            for side in (-margin, margin)
-        ]
-    found = values.agg(
-        *[F.percentile_approx(name, at, accuracy).alias(name) for name, at in bounds.items()]
-    ).first()
-    return {name: list(zip(found[name][::2], found[name][1::2])) for name in bounds}
-
-
-def _count_around(
-    values: DataFrame, name: str, brackets: Sequence[tuple[float, float]]
-) -> DataFrame:
-    """(column_name, value, copies); rows between brackets are one lump per gap."""
-    value = F.col(name)
-    inside = reduce(lambda a, b: a | b, [value.between(low, high) for low, high in brackets])
-    gap = reduce(lambda a, b: a + b, [(value > high).cast("int") for _, high in brackets])
-    return (
-        values.where(value.isNotNull())
-        .groupBy(
-            F.when(inside, value).alias("kept_value"),
-            F.when(~inside, gap).alias("gap"),
-        )
-        .agg(F.min(value).alias("value"), F.count(F.lit(1)).alias("copies"))
-        .select(F.lit(name).alias("column_name"), "value", "copies")
+def _enclose(
+    values: DataFrame, columns: int, probabilities: Sequence[float], accuracy: int
+) -> tuple[list[tuple[list[float], list[float]]], list[list[float]]]:
+    """Per probability: low and high ends, and 0-based positions, by column number."""
+    # Well beyond the rank error of the sketch, 1 in ``accuracy`` rows.
+    margin = 4.0 / accuracy
+    edges = [
+        edge for p in probabilities for edge in (max(p - margin, 0.0), min(p + margin, 1.0))
+    ]
+    sketches = values.groupBy("column").agg(
+        F.count("value").alias("n"), F.percentile_approx("value", edges, accuracy).alias("at")
     )
-
-
-def _interpolated(position: str):
-    """The value at a fractional 0-based position of the running count."""
+    # One row per profiled column; a column without values has none.
+    found = {int(row.column): row for row in sketches.collect()}
+    brackets, positions = [], []
+    for number, p in enumerate(probabilities):
+        low, high, position = [-math.inf] * columns, [math.inf] * columns, [0.0] * columns
+        for column, row in found.items():
+            position[column] = p * (row.n - 1)
+            # So few values that all are kept.
+            if row.n > accuracy:
+                low[column], high[column] = row["at"][2 * number : 2 * number + 2]
+        brackets.append((low, high))
+        positions.append(position)
+    return brackets, positions
+
+
+def _interpolated(position: str) -> Column:
+    """The value at a fractional position of the running count."""
     lower = F.floor(position)
     below = F.min(F.when(F.col("through") > lower, F.col("value")))
     above = F.min(F.when(F.col("through") > lower + 1, F.col("value")))
     weight = F.first(F.col(position) - lower)
     return below + (F.coalesce(above, below) - below) * weight
+
+
+def _unpivoted(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column, value) with the columns numbered in the given order."""
+    numbered = {str(number): name for number, name in enumerate(columns)}
+    doubles = rows.select(
+        *[F.col(f"`{name}`").cast("double").alias(number) for number, name in numbered.items()]
+    )
+    return doubles.unpivot([], list(numbered), "column", "value")
+
+
+def _by_column(numbers: Sequence[float | None], kind: str = "double") -> Column:
+    """The number at the place of the row's column; an array of constants."""
+    return F.array(*[F.lit(n).cast(kind) for n in numbers])[F.col("column").cast("int")]
+
+
+def _named(profile: DataFrame, columns: Sequence[str]) -> DataFrame:
+    names = F.array(*[F.lit(name) for name in columns])
+    named = profile.withColumn("column_name", names[F.col("column").cast("int")])
+    return named.drop("column")

@@ -104,7 +104,9 @@ def graded(metrics: DataFrame) -> DataFrame:
 
 def report_lines(grades: DataFrame) -> DataFrame:
     """``metric: 12.34% - STATUS``, one line per metric."""
-    percent = F.coalesce(F.format_string("%.2f%%", F.col("score") * 100), F.lit("n/a"))
+    percent = F.when(
+        F.col("score").isNotNull(), F.format_string("%.2f%%", F.col("score") * 100)
+    ).otherwise("n/a")
     line = F.concat(F.col("metric"), F.lit(": "), percent, F.lit(" - "), F.col("status"))
     return grades.withColumn("line", line)
 

@@ -27,7 +27,7 @@ _CONVERTED_BY_READER = {
 def read_raw_trips(
     spark: SparkSession, *paths: str, declared: StructType = TRIP_SCHEMA
 ) -> DataFrame:
-    """All raw files as one frame, with the file each row came from.
+    """All raw files as one frame.
 
     Columns of all files are united without regard to case. Declared columns
     get their declared type and spelling, other columns stay as they are. Files
@@ -116,8 +116,6 @@ def _read_declared(
         if read_as != target.dataType:
             column = column.try_cast(target.dataType).alias(target.name)
         columns.append(column)
-    # The file column comes from the scan itself: a union would hide it.
-    columns.append(F.col("_metadata.file_path").alias("source_file"))
     return spark.read.schema(StructType(to_read)).parquet(*paths).select(*columns)
 
 
