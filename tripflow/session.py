@@ -13,6 +13,9 @@ _SETTINGS = {
     # A split feeds one map-side aggregate; larger splits combine more rows
     # before anything is shuffled.
     "spark.sql.files.maxPartitionBytes": "256m",
+    # A task holds few months: writing them side by side saves sorting its rows.
+    # A task with more months than writers sorts the rest.
+    "spark.sql.maxConcurrentOutputFileWriters": "8",
     # Window state outside the heap, saved as deltas rather than whole snapshots.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -20,6 +23,9 @@ _SETTINGS = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
+# Shuffles start this wide and are merged to their size at run time.
+_CLUSTER_SETTINGS = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": "4096"}
+
 _DELTA_SETTINGS = {
     "spark.sql.extensions": "io.delta.sql.DeltaSparkSessionExtension",
     "spark.sql.catalog.spark_catalog": "org.apache.spark.sql.delta.catalog.DeltaCatalog",
@@ -40,7 +46,11 @@ def build_session(
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    chosen = _SETTINGS | (_DELTA_SETTINGS if delta else {})
+    chosen = dict(_SETTINGS)
+    if not (master or "").startswith("local"):
+        chosen |= _CLUSTER_SETTINGS
+    if delta:
+        chosen |= _DELTA_SETTINGS
     chosen |= {key.replace("__", "."): value for key, value in settings.items()}
     for key, value in chosen.items():
         builder = builder.config(key, value)
