@@ -24,11 +24,12 @@ def numbers(spark):
     )
 
 
-@pytest.mark.parametrize("accuracy", [100, 1000, 1_000_000])
-def test_quantiles_are_exact(numbers, accuracy):
-    """Low accuracies take the way over brackets, the high one keeps everything."""
+@pytest.mark.parametrize("keep, accuracy", [(5, 100), (50, 2_000), (1_000_000, 2_000)])
+def test_quantiles_are_exact(numbers, keep, accuracy):
+    """A low ``keep`` narrows brackets in several passes, the high one keeps everything."""
     probabilities = {"low": 0.01, "q25": 0.25, "q50": 0.5, "q75": 0.75, "end": 1.0}
-    found = profile.exact_quantiles(numbers, numbers.columns, probabilities, accuracy).collect()
+    found = profile.exact_quantiles(numbers, numbers.columns, probabilities, keep, accuracy)
+    found = found.collect()
     found = {row.column_name: row for row in found}
     assert "empty" not in found
     local = numbers.toPandas()
@@ -38,6 +39,12 @@ def test_quantiles_are_exact(numbers, accuracy):
             assert math.isclose(found[name][label], expected, rel_tol=1e-12), (name, label)
 
 
+def test_brackets_end_up_small(numbers):
+    values = profile._unpivoted(numbers, ["wide"]).where("value IS NOT NULL")
+    (bracket,), _ = profile._narrowed(values, 1, [0.5], keep=20, accuracy=2_000)
+    assert values.where(bracket.holds(F.col("value"))).count() <= 20
+
+
 def test_nothing_to_rank(numbers):
     assert profile.exact_quantiles(numbers, ["empty"], {"q50": 0.5}).collect() == []
 

@@ -68,23 +68,25 @@ def exact_quantiles(
     rows: DataFrame,
     columns: Sequence[str],
     probabilities: Mapping[str, float],
-    accuracy: int = 10_000,
+    keep: int = 10_000_000,
+    accuracy: int = 2_000,
 ) -> DataFrame:
     """One row per column that has values, with linearly interpolated quantiles.
 
-    Two passes over the table. A sketch encloses each quantile between two
-    values; then rows are counted value by value inside these brackets and as a
-    lump outside, so only about ``8/accuracy`` of a column's rows per quantile
-    are ever sorted, and no task holds the values of a whole column.
+    Passes over the table narrow a bracket around each quantile until it holds
+    at most about ``keep`` rows; each divides it by some hundreds, so a trillion
+    rows take two. The last pass counts rows value by value inside the brackets
+    and as a lump outside: no task ever sorts the values of a whole column.
     """
     values = _unpivoted(rows, columns).where("value IS NOT NULL")
-    brackets, positions = _enclose(values, len(columns), list(probabilities.values()), accuracy)
+    wanted = list(probabilities.values())
+    brackets, positions = _narrowed(values, len(columns), wanted, keep, accuracy)
 
     value = F.col("value")
     inside, gap = F.lit(False), F.lit(0)
-    for low, high in brackets:
-        inside = inside | value.between(_by_column(low), _by_column(high))
-        gap = gap + (value > _by_column(high)).cast("int")
+    for bracket in brackets:
+        inside = inside | bracket.holds(value)
+        gap = gap + bracket.exceeded_by(value).cast("int")
     counted = values.groupBy(
         "column", F.when(inside, value).alias("kept"), F.when(~inside, gap).alias("gap")
     ).agg(F.min(value).alias("value"), F.count(F.lit(1)).alias("copies"))
@@ -99,31 +101,73 @@ def exact_quantiles(
     return _named(quantiles, columns)
 
 
-def _enclose(
-    values: DataFrame, columns: int, probabilities: Sequence[float], accuracy: int
-) -> tuple[list[tuple[list[float], list[float]]], list[list[float]]]:
-    """Per probability: low and high ends, and 0-based positions, by column number."""
-    # Well beyond the rank error of the sketch, 1 in ``accuracy`` rows.
-    margin = 4.0 / accuracy
-    edges = [
-        edge for p in probabilities for edge in (max(p - margin, 0.0), min(p + margin, 1.0))
-    ]
-    sketches = values.groupBy("column").agg(
-        F.count("value").alias("n"), F.percentile_approx("value", edges, accuracy).alias("at")
-    )
-    # One row per profiled column; a column without values has none.
-    found = {int(row.column): row for row in sketches.collect()}
-    brackets, positions = [], []
-    for number, p in enumerate(probabilities):
-        low, high, position = [-math.inf] * columns, [math.inf] * columns, [0.0] * columns
-        for column, row in found.items():
-            position[column] = p * (row.n - 1)
-            # So few values that all are kept.
-            if row.n > accuracy:
-                low[column], high[column] = row["at"][2 * number : 2 * number + 2]
-        brackets.append((low, high))
-        positions.append(position)
-    return brackets, positions
+class _Bracket:
+    """Two values per column with the wanted ones between them."""
+
+    def __init__(self, columns: int):
+        self.low, self.high = [-math.inf] * columns, [math.inf] * columns
+
+    def holds(self, value: Column) -> Column:
+        return value.between(_by_column(self.low), _by_column(self.high))
+
+    def exceeded_by(self, value: Column) -> Column:
+        return value > _by_column(self.high)
+
+    def sketch(self, value: Column, accuracy: int) -> Column:
+        grid = [step / _GRID for step in range(_GRID + 1)]
+        return F.struct(
+            F.count_if(value < _by_column(self.low)).alias("below"),
+            F.count_if(self.holds(value)).alias("inside"),
+            F.percentile_approx(F.when(self.holds(value), value), grid, accuracy).alias("grid"),
+        )
+
+
+_GRID = 1_000
+
+
+def _narrowed(
+    values: DataFrame, columns: int, probabilities: Sequence[float], keep: int, accuracy: int
+) -> tuple[list[_Bracket], list[list[float]]]:
+    """A bracket per probability, and the 0-based positions sought, by column."""
+    brackets = [_Bracket(columns)]  # at first the same for all
+    positions: list[list[float]] = []
+    inside = [[math.inf] * columns for _ in probabilities]
+    while True:
+        sketches = values.groupBy("column").agg(
+            *[b.sketch(F.col("value"), accuracy).alias(f"q{i}") for i, b in enumerate(brackets)]
+        )
+        # One row of a few thousand numbers per profiled column.
+        found = {int(row["column"]): row for row in sketches.collect()}
+        if not positions:
+            sizes = {column: row["q0"].inside for column, row in found.items()}
+            positions = [
+                [p * (sizes[c] - 1) if c in sizes else 0.0 for c in range(columns)]
+                for p in probabilities
+            ]
+            if all(size <= keep for size in sizes.values()):
+                return brackets, positions
+        wide, narrower = False, []
+        for number, sought in enumerate(positions):
+            bracket = _Bracket(columns)
+            for column, row in found.items():
+                seen = row[f"q{min(number, len(brackets) - 1)}"]
+                lower = int(sought[column]) - seen.below
+                upper = min(lower + 1, seen.inside - 1)
+                # Twice the rank error of the sketch on either side.
+                first = math.floor((lower / seen.inside - 2 / accuracy) * _GRID)
+                last = math.ceil(((upper + 1) / seen.inside + 2 / accuracy) * _GRID)
+                first, last = max(first, 0), min(last, _GRID)
+                bracket.low[column], bracket.high[column] = seen.grid[first], seen.grid[last]
+                left = seen.inside * ((last - first) / _GRID + 2 / accuracy)
+                # Where copies of few values fill a bracket it stops shrinking;
+                # they are counted as so few groups.
+                shrinks = seen.inside <= inside[number][column] / 2
+                inside[number][column] = seen.inside
+                wide |= left > keep and shrinks
+            narrower.append(bracket)
+        brackets = narrower
+        if not wide:
+            return brackets, positions
 
 
 def _interpolated(position: str) -> Column:
