@@ -74,9 +74,14 @@ def uniqueness(
     digest with probability 10^-15. ``whole_rows=True`` compares the rows.
     """
     names = list(columns or rows.columns)
-    identity = [F.col(f"`{name}`") for name in names] if whole_rows else row_digest(names)
-    copies = rows.groupBy(*identity).agg(F.count(F.lit(1)).alias("copies"))
-    share = F.try_divide(F.count(F.lit(1)), F.sum("copies"))
+    identities = rows.select(
+        *([F.col(f"`{name}`") for name in names] if whole_rows else row_digest(names))
+    )
+    # Copies combine per task, so a row with a million copies is one row per task.
+    copies = identities.groupBy(*[f"`{name}`" for name in identities.columns]).agg(
+        F.count(F.lit(1)).alias("__copies")
+    )
+    share = F.try_divide(F.count(F.lit(1)), F.sum("__copies"))
     return copies.agg(share.alias("score")).select(F.lit(UNIQUENESS).alias("metric"), "score")
 
 
