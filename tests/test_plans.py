@@ -115,10 +115,11 @@ def test_top_reports_do_not_sort_everything(spark):
         assert "rangepartitioning" not in text and "Window" not in text
 
 
-WRITING = ("roundtrip", "summary", "medallion", "schema_merge", "stream_", "export")
+# These run jobs before they return; what they return is a plain read.
+WRITING = ("roundtrip", "_summary", "medallion", "schema_merge", "stream_", "export")
 
 
-@pytest.mark.parametrize("name", [n for n in QUERIES if not any(w in n for w in WRITING)])
+@pytest.mark.parametrize("name", [n for n in QUERIES if not any(w in n for w in WRITING) or n == "stream_features"])
 def test_no_query_multiplies_rows(spark, name):
     text = plan(QUERIES[name](spark, TESTDATA))
     assert "CartesianProduct" not in text

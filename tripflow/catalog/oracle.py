@@ -363,6 +363,8 @@ FROM payment GROUP BY payment_type""",
     "profile_summary": f"WITH {_TRIPS}\n"
     + " UNION ALL ".join(_described(column, quartiles=True) for column in _NUMERIC),
     "profile_first_rows": f"WITH {_TRIPS} SELECT * FROM trips ORDER BY trip_id LIMIT 5",
+    "stream_features": f"""WITH {_STREAM}
+SELECT trip_id, trip_duration_minutes, speed_mph, 'streaming' AS source FROM streamed""",
     "stream_time_metrics": f"WITH {_STREAM}\n"
     "SELECT * REPLACE (round(avg_speed, 6) AS avg_speed) FROM time_metrics",
     "stream_location_metrics": f"WITH {_STREAM}\nSELECT * FROM location_metrics",
@@ -391,6 +393,10 @@ SELECT payment_type, CAST(sum(payment_count) AS bigint) AS total_count,
     WHEN 4 THEN 'Dispute' WHEN 5 THEN 'Unknown' WHEN 6 THEN 'Voided'
     ELSE 'Type ' || payment_type END AS payment_name
 FROM payment_metrics GROUP BY payment_type""",
+    "stream_summary": f"""WITH {_STREAM}
+SELECT 'time_metrics' AS table_name, count(*) AS row_count FROM time_metrics
+UNION ALL SELECT 'location_metrics', count(*) FROM location_metrics
+UNION ALL SELECT 'payment_metrics', count(*) FROM payment_metrics""",
     "stream_run_report": """SELECT name AS query, count(*) AS input_rows,
   CAST(0 AS bigint) AS late_groups_dropped
 FROM events, (VALUES ('time_metrics'), ('location_metrics'), ('payment_metrics')) AS q(name)

@@ -18,7 +18,7 @@ from tripflow.functions.totals import RollupTotals, TripTotals
 from tripflow.operators import bronze, gold, profile, quality, reports, silver
 from tripflow.plans.batch import build_bronze, build_gold, build_silver, gold_summary, run_layers
 from tripflow.plans.export import CSV_NAMES, export_gold
-from tripflow.plans.stream import run_metrics, stream_paths
+from tripflow.plans.stream import run_metrics, stream_paths, stream_summary
 from tripflow.schema import CSV_FOLDER, DROPOFF, PICKUP, TRIP_SCHEMA, UNITS
 from tripflow.sources.derived import read_trips, read_trips_over_months, stream_trips_of_events
 from tripflow.sources.scratch import scratch_path
@@ -299,27 +299,27 @@ def profile_first_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streaming ---------------------------------------------------------------
 
 
-def _streamed(
+def _run_stream(
     spark: SparkSession, sf_dir: str, tables: Sequence[stream_metrics.WindowedMetrics]
-) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Run the stream to its end and read its tables back."""
+) -> tuple[str, DataFrame]:
+    """Run the stream to its end: root folder of its tables, and its progress."""
     # State partitions: keys times open windows is little, whatever the input.
-    session = stream_session(spark, min(spark.sparkContext.defaultParallelism, 64))
+    session = stream_session(_utc(spark), min(spark.sparkContext.defaultParallelism, 64))
     output, checkpoint = scratch_path(spark, "stream"), scratch_path(spark, "stream-state")
-    result = run_metrics(
-        session,
-        stream_trips_of_events(session, sf_dir),
-        output,
-        checkpoint,
-        tables=tables,
-        totals=EXACT,
-    )
-    stored = {name: read_table(_utc(spark), stream_paths(output)[name]) for name in result.paths}
-    return stored, result.progress
+    trips = stream_trips_of_events(session, sf_dir)
+    result = run_metrics(session, trips, output, checkpoint, tables=tables, totals=EXACT)
+    return output, result.progress
 
 
 def _stored(spark: SparkSession, sf_dir: str, table: stream_metrics.WindowedMetrics) -> DataFrame:
-    return _streamed(spark, sf_dir, [table])[0][table.name]
+    output, _ = _run_stream(spark, sf_dir, [table])
+    return read_table(spark, stream_paths(output)[table.name])
+
+
+def stream_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stream's cleaning, row by row, on the same trips in batch."""
+    clean = stream_metrics.clean_stream(_trips(spark, sf_dir))
+    return clean.select("trip_id", "trip_duration_minutes", "speed_mph", "source")
 
 
 def stream_time_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -357,13 +357,18 @@ def stream_payment_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Input rows and late groups per query when all three run at once."""
-    _, progress = _streamed(spark, sf_dir, stream_metrics.STREAM_TABLES)
+    _, progress = _run_stream(spark, sf_dir, stream_metrics.STREAM_TABLES)
     return progress.groupBy("query").agg(
         F.sum("input_rows").alias("input_rows"),
         F.sum("late_groups_dropped").alias("late_groups_dropped"),
     )
 
 
+def stream_summary_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    output, _ = _run_stream(spark, sf_dir, stream_metrics.STREAM_TABLES)
+    return stream_summary(spark, output)
+
+
 _GOLD_KEYS = {
     "hourly": gold.HOURLY,
     "location": gold.LOCATION,
@@ -406,6 +411,7 @@ QUERIES: dict[str, Query] = {
     "profile_describe": profile_describe,
     "profile_summary": profile_summary,
     "profile_first_rows": profile_first_rows,
+    "stream_features": stream_features,
     "stream_time_metrics": stream_time_metrics,
     "stream_location_metrics": stream_location_metrics,
     "stream_payment_metrics": stream_payment_metrics,
@@ -414,4 +420,5 @@ QUERIES: dict[str, Query] = {
     "stream_top_locations": stream_top_locations,
     "stream_payment_distribution": stream_payment_distribution,
     "stream_run_report": stream_run_report,
+    "stream_summary": stream_summary_counts,
 }

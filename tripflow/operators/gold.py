@@ -38,6 +38,9 @@ class GoldTable:
         return source.groupBy(*self.keys).agg(*columns).transform(self.finish)
 
 
+# Names, keys and measures of the four tables, as their users know them.
+
+
 def _hourly(of: TripTotals) -> Mapping[str, Column]:
     return {
         "total_trips": of.trips(),

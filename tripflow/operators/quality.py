@@ -14,9 +14,8 @@ from pyspark.sql import functions as F
 from tripflow.functions.digest import row_digest
 from tripflow.functions.rules import CONSISTENT_TOTAL, VALID_TRIP, all_of
 
+# Names of the metrics, columns a rate needs, limits of the grades.
 VALIDITY, CONSISTENCY, UNIQUENESS = "business_rule_validity", "amount_consistency", "uniqueness"
-
-# Columns a rate needs, and the limits of the grades.
 _VALIDITY_NEEDS = ("trip_distance", "fare_amount", "trip_duration_minutes", "passenger_count")
 _CONSISTENCY_NEEDS = ("total_amount", "fare_amount", "extra", "mta_tax")
 PASS_FROM, WARN_FROM = 0.95, 0.80

@@ -23,8 +23,12 @@ _SETTINGS = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
-# Shuffles start this wide and are merged to their size at run time.
-_CLUSTER_SETTINGS = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": "4096"}
+_CLUSTER_SETTINGS = {
+    # Shuffles start this wide and are merged to their size at run time.
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "4096",
+    # Also the size of the files a rebalanced write makes, before encoding.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+}
 
 _DELTA_SETTINGS = {
     "spark.sql.extensions": "io.delta.sql.DeltaSparkSessionExtension",

@@ -67,17 +67,22 @@ def wait_for(
     A failure is raised. A query cut off by time resumes from its checkpoint.
     """
     deadline = time.monotonic() + seconds
+    running = list(queries.values())
     try:
-        running = list(queries.values())
         while running and (left := deadline - time.monotonic()) > 0:
-            # Raises the exception of the query awaited if that one failed.
+            # Raises what ended the query awaited, if it failed.
             running[0].awaitTermination(min(poll_seconds, left))
-            for query in running:
-                if (failure := query.exception()) is not None:
-                    raise failure
+            _raise_failure(queries)
             running = [query for query in running if query.isActive]
     finally:
         stop_all(queries)
+    _raise_failure(queries)
+
+
+def _raise_failure(queries: Mapping[str, StreamingQuery]) -> None:
+    for query in queries.values():
+        if (failure := query.exception()) is not None:
+            raise failure
 
 
 def stop_all(queries: Mapping[str, StreamingQuery]) -> None:
