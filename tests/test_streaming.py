@@ -134,6 +134,12 @@ def test_sliding_windows_overlap(spark, trips, inbox):
     assert {r.total_revenue for r in rows} == {10.0}
 
 
+def test_stream_settings_stay_in_their_session(spark):
+    assert stream_session(spark).conf.get("spark.sql.shuffle.partitions") == "8"  # cores
+    assert stream_session(spark, 3).conf.get("spark.sql.shuffle.partitions") == "3"
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+
+
 def test_stream_tags(trips):
     row = clean_stream(trips(trip())).first()
     assert row.source == "streaming"

@@ -303,8 +303,7 @@ def _run_stream(
     spark: SparkSession, sf_dir: str, tables: Sequence[stream_metrics.WindowedMetrics]
 ) -> tuple[str, DataFrame]:
     """Run the stream to its end: root folder of its tables, and its progress."""
-    # State partitions: keys times open windows is little, whatever the input.
-    session = stream_session(_utc(spark), min(spark.sparkContext.defaultParallelism, 64))
+    session = stream_session(_utc(spark))
     output, checkpoint = scratch_path(spark, "stream"), scratch_path(spark, "stream-state")
     trips = stream_trips_of_events(session, sf_dir)
     result = run_metrics(session, trips, output, checkpoint, tables=tables, totals=EXACT)

@@ -21,16 +21,21 @@ _PROGRESS_SCHEMA = StructType(
 )
 
 
+_MOST_STATE_PARTITIONS = 64
+
+
 def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
     """A sibling session for streams, so their settings do not reach the caller's.
 
-    The state is bounded by keys times open windows and its partitions are fixed
-    for the life of a checkpoint, so their number is set apart from batch shuffles.
+    State is bounded by keys times open windows, far less than a batch shuffles,
+    so by default it gets a partition per core, up to 64. A checkpoint keeps the
+    number it began with.
     """
     session = spark.newSession()
     session.conf.set("spark.sql.session.timeZone", "UTC")
-    if state_partitions is not None:
-        session.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    if state_partitions is None:
+        state_partitions = min(spark.sparkContext.defaultParallelism, _MOST_STATE_PARTITIONS)
+    session.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
     return session
 
 
