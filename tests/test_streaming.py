@@ -206,6 +206,14 @@ def test_reports_over_stored_metrics(spark, trips, inbox):
     assert shares == {"Cash": (2, 2.0), "Type 9": (1, 0.0)}
 
 
+def test_a_run_that_closes_no_window(spark, trips, inbox):
+    inbox.put(trips(at(0)))
+    run(spark, inbox)
+    output = f"{inbox.root}/out"
+    assert {r.row_count for r in stream_summary(spark, output).collect()} == {0}
+    assert all(report.isEmpty() for report in analyse(spark, output).values())
+
+
 def test_trend_needs_two_windows_and_survives_zero_revenue(spark):
     schema = "window struct<start timestamp, end timestamp>, trip_count bigint, total_revenue double"
     window = lambda minute: (NOON, NOON + dt.timedelta(minutes=minute))
