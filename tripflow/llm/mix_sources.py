@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tripflow.llm.common import WORD, read_table, text_of
+from tripflow.llm.common import WORD, read_table, stored, text_of
 
 #: 60 bits of an MD5 are the key of a document.
 KEY_BITS = 60
@@ -93,8 +93,8 @@ def mix_sources(
         "key", random_key(F.col("doc_id"), seed)
     )
     shift = KEY_BITS - (ranges.bit_length() - 1)
-    # Dealt out once: range sums and row sums below read the same shuffle.
-    sized = sized.withColumn("range", F.shiftright("key", shift)).repartition("source_key", "range")
+    # Texts are read once: range sums and row sums below both start from the sizes.
+    sized = stored(sized.withColumn("range", F.shiftright("key", shift)), "mix-sizes")
 
     by_range = sized.groupBy("source_key", "range").agg(F.sum("size").alias("range_size"))
     sizes = by_range.groupBy("source_key").agg(F.sum("range_size").alias("source_size"))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tripflow.llm import lang_id, mix_sources
+from tripflow.llm import lang_id, mix_sources, quality_rules
 
 QUERIES = {
     "op5_mix_sources": mix_sources.query,
+    "op6_quality_rules": quality_rules.query,
     "op10_language_id": lang_id.query,
 }
 
