@@ -43,21 +43,43 @@ def feature(rule: str, prefix: str = "") -> Column:
     return F.expr(f"{scale} * {prefix}{part} div greatest({prefix}{whole}, 1)")
 
 
-def repeat_words(words: str) -> Column:
+#: Up to so many different repeated windows, each window is looked up in their list.
+LOOKED_UP = 256
+
+
+def windows(words: str) -> Column:
+    """A 64-bit hash of each 3-word window, in order."""
+    return F.expr(f"""
+        CASE WHEN size({words}) < 3 THEN cast(array() AS array<bigint>) ELSE
+        transform(sequence(0, size({words}) - 3),
+          i -> xxhash64({words}[i], {words}[i + 1], {words}[i + 2])) END""")
+
+
+def repeated(hashes: str) -> Column:
+    """The hashes that occur twice or more, each once."""
+    return F.expr(f"""
+        CASE WHEN size(array_distinct({hashes})) = size({hashes})
+        THEN cast(array() AS array<bigint>) ELSE
+        aggregate(array(sort_array({hashes})), cast(array() AS array<bigint>), (a, s) ->
+          array_distinct(filter(s, (x, k) -> x <=> get(s, k + 1)))) END""")
+
+
+def repeat_words(hashes: str, twice: str) -> Column:
     """Words within a 3-word window that the text has twice or more.
 
-    The starts of windows are sorted by a 64-bit hash of their words; neighbours
-    with equal hashes are occurrences of one window. Each start then adds the words
-    up to the next start, three at most.
+    Each start of such a window adds the words up to the next start, three at most.
+    Where a text has many such windows, their starts are found by sorting all windows
+    instead: time stays near the length of the text.
     """
+    looked_up = f"filter(sequence(0, size({hashes}) - 1), i -> array_contains({twice}, {hashes}[i]))"
+    in_order = f"""sort_array(aggregate(
+          array(sort_array(transform({hashes}, (h, i) -> struct(h AS h, i AS i)))),
+          cast(array() AS array<int>), (a, s) ->
+          transform(filter(s, (x, k) -> get(s, k - 1).h <=> x.h OR get(s, k + 1).h <=> x.h), x -> x.i)))"""
     return F.expr(f"""
-        CASE WHEN size({words}) < 4 THEN 0L ELSE
+        CASE WHEN size({twice}) = 0 THEN 0L ELSE
         aggregate(
-          sort_array(flatten(transform(
-            array(sort_array(transform(sequence(0, size({words}) - 3),
-              i -> struct(xxhash64({words}[i], {words}[i + 1], {words}[i + 2]) AS h, i AS i)))),
-            s -> filter(transform(s, (x, k) ->
-              CASE WHEN get(s, k - 1).h = x.h OR get(s, k + 1).h = x.h THEN x.i END), i -> i IS NOT NULL)))),
+          CASE WHEN size({twice}) <= {LOOKED_UP} THEN {looked_up} ELSE {in_order} END,
           struct(0L AS n, -3 AS last),
           (a, i) -> struct(a.n + least(3, i - a.last) AS n, i AS last),
           a -> a.n)
@@ -66,13 +88,15 @@ def repeat_words(words: str) -> Column:
 
 def measured(docs: DataFrame, into: str) -> DataFrame:
     """``docs`` with one more column ``into``: a struct of all counts and ``base_failed``."""
-    names = {n: free_name(docs, f"_{into}_{n}") for n in ("text", "words", "lines", "counts")}
-    text, words, lines, counts = (names[n] for n in ("text", "words", "lines", "counts"))
+    names = {n: free_name(docs, f"_{into}_{n}") for n in ("text", "words", "lines", "hashes", "twice", "counts")}
+    text, words, lines, hashes, twice, counts = names.values()
     rows = docs.withColumn(text, text_of("text"))
     rows = rows.withColumn(words, words_of(F.col(text)))
     rows = rows.withColumn(
         lines, F.filter(F.split(text, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
     )
+    rows = rows.withColumn(hashes, windows(words))
+    rows = rows.withColumn(twice, repeated(hashes))
     # explode() of one struct, so that no filter on the counts is moved below them,
     # where each mention of a count would count again.
     one = F.explode(
@@ -82,7 +106,7 @@ def measured(docs: DataFrame, into: str) -> DataFrame:
             F.length(F.array_join(words, "")).cast("long").alias("word_chars"),
             F.regexp_count(text, F.lit(SYMBOL)).cast("long").alias("n_symbols"),
             (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
-            repeat_words(words).alias("n_repeat_words"),
+            repeat_words(hashes, twice).alias("n_repeat_words"),
             F.size(lines).cast("long").alias("n_lines"),
             F.regexp_count(text, F.lit("!")).cast("long").alias("n_shouts"),
         ))
@@ -92,7 +116,7 @@ def measured(docs: DataFrame, into: str) -> DataFrame:
         100 * F.col(f"{counts}.n_repeat_words") > 50 * F.col(f"{counts}.n_words")
     )
     rows = rows.withColumn(into, F.struct(f"{counts}.*", failed.alias("base_failed")))
-    return rows.drop(text, words, lines, counts)
+    return rows.drop(*names.values())
 
 
 def most_failures(n: str, risk: str, error: str) -> Column:
