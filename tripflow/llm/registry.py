@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tripflow.llm import lang_id, mix_sources, quality_rules
+from tripflow.llm import lang_id, mix_sources, quality_rules, secret_scan
 
 QUERIES = {
+    "op1_secret_scan": secret_scan.query,
     "op5_mix_sources": mix_sources.query,
     "op6_quality_rules": quality_rules.query,
     "op10_language_id": lang_id.query,

@@ -1,0 +1,216 @@
+"""Secrets in texts (operator 1).
+
+Patterns find the secrets that name themselves. For the others every long run of key
+characters is read with a sliding window: as it moves by one character, one count
+goes up and one goes down, and the window's entropy follows from the two terms that
+changed. How much entropy makes a secret depends on the characters of the window:
+16 hexadecimal digits can never be as mixed as 64 characters. Runs that look like
+something well known are on an allow list.
+
+Entropies are sums of whole numbers (n log2 n in millionths), so they depend neither
+on the order of summation nor on the platform.
+"""
+
+from __future__ import annotations
+
+import math
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tripflow.llm.common import free_name, read_table, text_of
+
+#: Kinds in the order in which spans with one start are listed.
+KINDS = ("assign", "access", "hex", "entropy")
+
+# The patterns of named secrets.
+ASSIGN = (
+    r"([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]"
+    r"|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])"
+    r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+)
+LEAST_ASSIGN, LEAST_ACCESS, LEAST_HEX = 8, 16, 32
+
+#: Characters of a candidate run: ten digits, six more hexadecimal ones, other
+#: lower-case and upper-case letters, signs.
+ALPHABET = "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/_=-"
+DIGITS, HEX_END, LOWER_END, LETTERS_END = 10, 16, 36, 62
+#: Characters in a window; shorter runs are no candidates.
+WINDOW = 24
+CANDIDATE = rf"[A-Za-z0-9+/_=-]{{{WINDOW},}}"
+#: Least bits a character by class of window. Random digits of 16 reach 3.4 on
+#: average, random characters of 64 reach 4.3; words stay below 3.9.
+LEAST_BITS = {"hex": 3.0, "mixed": 3.9}
+UNIT = 1_000_000
+#: Runs that are no secrets: groups of a UUID, words joined by signs, a hash with its
+#: name in front, paths, one character class only, examples.
+ALLOWED = (
+    r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
+    r"^[A-Za-z]*([-_/=+]+[A-Za-z]*)*$",
+    r"^[A-Za-z]+([-_/]+([A-Za-z]+|[0-9]{1,4}))*$",
+    r"^sha(1|256|384|512)[-=_].*$",
+    r"^[0-9]+([-_/=+]+[0-9]+)*$",
+    r"^.*(EXAMPLE|example).*$",
+)
+
+TERMS = [round(n * math.log2(n) * UNIT) if n else 0 for n in range(WINDOW + 1)]
+#: A window is mixed enough if its terms add up to no more than this.
+MOST_TERMS = {k: round(WINDOW * (math.log2(WINDOW) - bits) * UNIT) for k, bits in LEAST_BITS.items()}
+
+
+SPANS = "array<struct<start: int, kind: int, end: int>>"
+
+
+def quoted(pattern: str) -> str:
+    """A pattern as a SQL string."""
+    return "'" + pattern.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def matches(text: str, pattern: str, kind: int, keep: str = "true") -> Column:
+    """Spans (start, kind, end) of the pattern's leftmost matches that do not overlap.
+
+    The text is split at the matches, so lengths of pieces and matches, taken in turn,
+    are the places. Matches that ``keep`` (a condition on ``x.m``) refuses are dropped
+    afterwards. Lengths count code points.
+    """
+    p = quoted(pattern)
+    start, end = "a.at + length(x.g)", "a.at + length(x.g) + length(x.m)"
+    return F.expr(f"""
+        CASE WHEN {text} RLIKE {p} THEN
+        aggregate(
+          zip_with(regexp_extract_all({text}, {p}, 0), split({text}, {p}, -1),
+            (m, g) -> named_struct('m', m, 'g', g)),
+          named_struct('at', 0, 'spans', cast(array() AS {SPANS})),
+          (a, x) -> CASE WHEN x.m IS NULL THEN a ELSE named_struct(
+            'at', {end},
+            'spans', CASE WHEN {keep} THEN array_append(a.spans,
+              named_struct('start', {start}, 'kind', {kind}, 'end', {end})) ELSE a.spans END) END,
+          a -> a.spans)
+        ELSE cast(array() AS {SPANS}) END""")
+
+
+def class_of(code: str) -> str:
+    """Place of a character among the class counts: digit, a-f, g-z, A-Z, sign."""
+    return f"""(CASE WHEN {code} < {DIGITS} THEN 0 WHEN {code} < {HEX_END} THEN 1
+        WHEN {code} < {LOWER_END} THEN 2 WHEN {code} < {LETTERS_END} THEN 3 ELSE 4 END)"""
+
+
+def mixed_part(run: str, at: str) -> str:
+    """Span from the first to the last window of ``run`` that is mixed enough, or null.
+
+    A fold over the characters: ``c`` comes into the window, ``o`` goes out (-1: none
+    yet). The state holds the counts ``n`` of the window's characters, the counts ``k``
+    of its classes and the sum ``s`` of n log2 n; ``b`` is the state of the window,
+    ``a`` that of the one before.
+    """
+    terms = f"array({', '.join(f'{t}L' for t in TERMS)})"
+    codes = f"""transform(filter(split({run}, ''), c -> c <> ''),
+        c -> cast(locate(c, '{ALPHABET}') - 1 AS int))"""
+    moves = f"""aggregate(array({codes}), cast(array() AS array<struct<i: int, c: int, o: int>>),
+        (z, s) -> transform(s, (c, i) ->
+          named_struct('i', i, 'c', c, 'o', coalesce(get(s, i - {WINDOW}), -1))))"""
+    up = f"get({terms}, a.n[x.c] + 1) - get({terms}, a.n[x.c])"
+    down = f"get({terms}, a.n[x.o] - 1) - get({terms}, a.n[x.o])"
+    enough = f"""x.i >= {WINDOW - 1} AND b.k[0] > 0 AND b.k[1] + b.k[2] + b.k[3] > 0 AND b.s <=
+        CASE WHEN b.k[0] + b.k[1] = {WINDOW} THEN {MOST_TERMS["hex"]} ELSE {MOST_TERMS["mixed"]} END"""
+    return f"""
+        aggregate({moves},
+          named_struct('n', array_repeat(0, {len(ALPHABET)}), 'k', array_repeat(0, 5), 's', 0L,
+            'start', -1, 'end', -1),
+          (a, x) -> aggregate(
+            array(named_struct(
+              'n', transform(a.n, (n, j) -> n + int(j = x.c) - int(j = x.o)),
+              'k', transform(a.k, (n, j) -> n + int(j = {class_of("x.c")})
+                - int(x.o >= 0 AND j = {class_of("x.o")})),
+              's', a.s + CASE WHEN x.c = x.o THEN 0L WHEN x.o < 0 THEN {up} ELSE {up} + {down} END)),
+            a,
+            (w, b) -> named_struct('n', b.n, 'k', b.k, 's', b.s,
+              'start', CASE WHEN w.start < 0 AND {enough} THEN x.i - {WINDOW - 1} ELSE w.start END,
+              'end', CASE WHEN {enough} THEN x.i + 1 ELSE w.end END)),
+          a -> CASE WHEN a.start >= 0 THEN named_struct(
+            'start', {at} + a.start, 'kind', {KINDS.index("entropy")}, 'end', {at} + a.end) END)"""
+
+
+def entropy_spans(text: str, candidates: str, base: str) -> Column:
+    """Mixed parts of the candidate runs that are not allowed and meet no span of ``base``."""
+    allowed = " OR ".join(f"r.m RLIKE {quoted(p)}" for p in ALLOWED)
+    runs = f"""filter(transform({candidates}, r -> named_struct('at', r.start,
+        'm', substring({text}, r.start + 1, r.end - r.start))), r -> NOT ({allowed}))"""
+    return F.expr(f"""
+        filter(transform({runs}, r -> {mixed_part("r.m", "r.at")}),
+          e -> e IS NOT NULL AND NOT exists({base}, b -> b.start < e.end AND e.start < b.end))""")
+
+
+def with_spans(docs: DataFrame, base: str, spans: str) -> DataFrame:
+    """``docs`` with arrays of spans (start, kind, end) in order: the patterns' and all."""
+    names = {n: free_name(docs, f"_{n}") for n in ("text", "assign", "access", "hex", "runs", "found")}
+    text, assign, access, hexes, runs, found = names.values()
+    least = f"length(regexp_extract(x.m, {quoted(ASSIGN)}, 2)) >= {LEAST_ASSIGN}"
+    rows = docs.withColumn(text, text_of("text"))
+    rows = rows.withColumns(
+        {
+            assign: matches(text, ASSIGN, 0, least),
+            # Nothing within a shorter run could match: the length belongs to the pattern.
+            access: matches(text, rf"AKIA[A-Z0-9]{{{LEAST_ACCESS - 4},}}", 1),
+            hexes: matches(text, rf"[0-9a-f]{{{LEAST_HEX},}}", 2),
+            runs: matches(text, CANDIDATE, 3),
+        }
+    )
+    rows = rows.withColumn(base, F.sort_array(F.concat(assign, access, hexes)))
+    rows = rows.withColumn(found, entropy_spans(text, runs, base))
+    rows = rows.withColumn(spans, F.sort_array(F.concat(base, found)))
+    return rows.drop(*names.values())
+
+
+def listed(spans: str) -> Column:
+    """kind:start:end of each span, comma-joined."""
+    kinds = f"array({', '.join(map(repr, KINDS))})"
+    return F.expr(
+        f"array_join(transform({spans}, s -> concat_ws(':', get({kinds}, s.kind), s.start, s.end)), ',')"
+    )
+
+
+def scan(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_entropy) for each row of ``docs``.
+
+    ``docs`` needs doc_id and text. A null or empty text has no spans: counts of 0, an
+    empty ``spans`` and the SHA-256 of nothing. Spans of different patterns may overlap;
+    a span of kind ``entropy`` overlaps none. Repeated rows give repeated results.
+    """
+    rows = with_spans(docs.select("doc_id", "text"), "base", "spans")
+
+    def count(spans: str, kind: str) -> Column:
+        return F.expr(f"cast(size(filter({spans}, s -> s.kind = {KINDS.index(kind)})) AS bigint)")
+
+    return rows.select(
+        "doc_id",
+        count("base", "assign").alias("n_assign"),
+        count("base", "access").alias("n_access"),
+        count("base", "hex").alias("n_hex"),
+        F.sha2(listed("base"), 256).alias("base_sha256"),
+        listed("spans").alias("spans"),
+        count("spans", "entropy").alias("n_entropy"),
+    )
+
+
+def redacted(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
+    """``docs`` with every span of every text replaced by ``mark``, all columns as they were.
+
+    Spans that overlap get one mark. Where a text changes, ``n_chars`` (if there is such a
+    column) becomes its new length; null and clean texts stay as they are.
+    """
+    base, spans = free_name(docs, "_base"), free_name(docs, "_spans")
+    rows = with_spans(docs, base, spans)
+    clean = F.expr(f"""
+        aggregate({spans}, named_struct('at', 0, 'out', ''),
+          (a, s) -> named_struct('at', greatest(a.at, s.end), 'out', CASE WHEN s.start < a.at THEN a.out
+            ELSE concat(a.out, substring(text, a.at + 1, s.start - a.at), '{mark}') END),
+          a -> concat(a.out, substring(text, a.at + 1)))""")
+    rows = rows.withColumn("text", F.when(F.size(spans) > 0, clean).otherwise(F.col("text")))
+    if "n_chars" in docs.columns:
+        changed = F.length("text").cast(docs.schema["n_chars"].dataType)
+        rows = rows.withColumn("n_chars", F.when(F.size(spans) > 0, changed).otherwise(F.col("n_chars")))
+    return rows.select(*[f"`{c}`" for c in docs.columns])
+
+
+def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(read_table(spark, sf_dir, "documents"))
