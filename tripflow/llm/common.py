@@ -59,3 +59,37 @@ def free_name(rows: DataFrame, wanted: str) -> str:
     while wanted.lower() in taken:
         wanted += "_"
     return wanted
+
+
+def sample_by_hash(rows: DataFrame, label: str, wanted: dict[int, int]) -> DataFrame:
+    """About the ``wanted`` number of rows of each label, by a hash of doc_id.
+
+    A count by label comes first, so nothing is sorted or gathered. Whether a row is
+    in the sample depends on its id and the counts alone. The result is marked for
+    broadcast: its size is bounded by the number of labels.
+    """
+    counts = {r[0]: r[1] for r in rows.groupBy(label).agg(F.count("*")).collect() if r[0] is not None}
+    if not counts:
+        return rows.limit(0)
+    bounds = [
+        F.lit(x)
+        for value, n in counts.items()
+        for x in (value, min(2**31, wanted.get(value, 0) * 2**31 // n + 1))
+    ]
+    place = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(2**31))
+    return rows.where(F.col(label).isNotNull() & (place < F.create_map(*bounds)[F.col(label)]))
+
+
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, label: str, wanted: dict[int, int]
+) -> list[tuple[str, int]]:
+    """(text, label) of a bounded sample of labelled documents, in the order of their texts.
+
+    A document with several labels counts with the largest; labels other than 0 and
+    1, null ids and null texts are left out. Equal texts count once.
+    """
+    one = labels.where(F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.max(label).alias("y"))
+    chosen = sample_by_hash(one, "y", wanted)
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    rows = found.where(F.col("text").isNotNull()).select("text", F.col("y").cast("int")).collect()
+    return sorted({(r[0], r[1]) for r in rows})
