@@ -254,7 +254,10 @@ def edges_of(found: list[tuple[int, int]]) -> pa.RecordBatch:
 
 
 def measured_sets(docs: DataFrame, n: int, least: int, late: np.ndarray) -> DataFrame:
-    """(doc_id, n_shingles, digest, prefix) for each row; no digest for an empty set."""
+    """(doc_id, n_shingles, digest, bins, prefix) for each row; no digest for an empty set.
+
+    ``bins``: how many hashes of the set fall into each of 64 parts of their range.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles(n)
@@ -267,13 +270,63 @@ def measured_sets(docs: DataFrame, n: int, least: int, late: np.ndarray) -> Data
                     batch.column(0),
                     pa.array([len(x) for x in sets], pa.int64()),
                     pa.array(digests, pa.binary()),
+                    pa.array([counted(x).tobytes() for x in sets], pa.binary()),
                     pa.array(prefixes, pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "n_shingles", "digest", "prefix"],
+                names=["doc_id", "n_shingles", "digest", "bins", "prefix"],
             )
 
     rows = docs.select("doc_id", text_of("text").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, digest binary, prefix array<long>")
+    return rows.mapInArrow(run, "doc_id long, n_shingles long, digest binary, bins binary, prefix array<long>")
+
+
+def counted(hashes: np.ndarray) -> np.ndarray:
+    return np.bincount((hashes >> np.uint64(58)).astype(np.int64), minlength=64).astype(np.uint32)
+
+
+def possible(least: int):
+    """A task over rows (region, doc_id, n, bins) in the order of regions: rows that may have a link.
+
+    Two sets share no more than the sum of the lesser counts of their bins. What can
+    reach the threshold with nobody in its region by this bound leaves the region.
+    """
+
+    def kept(rows: list[tuple]) -> list[tuple]:
+        bins = np.array([np.frombuffer(r[3], np.uint32) for r in rows]).astype(np.int64)
+        sizes = bins.sum(axis=1)
+        alive = np.zeros(len(rows), bool)
+        for x in range(len(rows)):
+            if alive[x]:
+                others = np.flatnonzero(~alive)
+            else:
+                others = np.arange(len(rows))
+            others = others[others != x]
+            shared = np.minimum(bins[others], bins[x]).sum(axis=1)
+            near = others[linked(shared, sizes[others], sizes[x], least)]
+            alive[near] = True
+            alive[x] |= len(near) > 0
+        return [r for r, stays in zip(rows, alive) if stays]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        region, rows = None, []
+
+        def batch_of(found: list[tuple]) -> pa.RecordBatch:
+            columns = [[r[k] for r in found] for k in range(3)]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, pa.int64()) for c in columns], names=["region", "doc_id", "n"]
+            )
+
+        for batch in batches:
+            found = []
+            for row in zip(*(batch.column(k).to_pylist() for k in range(4))):
+                if row[0] != region:
+                    found += kept(rows) if len(rows) > 1 else []
+                    region, rows = row[0], []
+                rows.append(row)
+            yield batch_of(found)
+        yield batch_of(kept(rows) if len(rows) > 1 else [])
+
+    return run
 
 
 def with_text(members: DataFrame, docs: DataFrame) -> DataFrame:
@@ -398,8 +451,9 @@ def jaccard_join(
     n: int = 4,
     least: int = 85,
     weight: int = 4_000_000,
+    most_sets: int = 4096,
     pivots: int = 16,
-    often: int = 64,
+    often: int = 16,
     bits: int = 23,
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, digest) for each row of ``docs``.
@@ -412,7 +466,8 @@ def jaccard_join(
     Shingles are 64-bit hashes: a false link would take a collision for every shingle
     that two sets seem to share.
 
-    ``weight``: shingles that a task compares at most (a single longer text alone excepted).
+    ``weight``, ``most_sets``: shingles and sets that a region may have to be one task's
+    work; larger regions are split.
     ``often``, ``bits``: see shared_slots().
     """
     late = shared_slots(docs, n, often, bits)
@@ -429,8 +484,12 @@ def jaccard_join(
         postings.join(elected, "shingle").groupBy("region", "doc_id").agg(F.max("n").alias("n")), "regions"
     )
     weights = members.groupBy("region").agg(F.sum("n").alias("weight"), F.count("*").alias("sets"))
-    large = weights.where(F.col("weight") > weight)
-    small = members.join(weights.where(F.col("weight") <= weight), "region")
+    is_large = (F.col("weight") > weight) | (F.col("sets") > most_sets)
+    large = weights.where(is_large)
+    small = members.join(weights.where(~is_large), "region").select("region", "doc_id", "n")
+    small = small.join(reps.select("doc_id", "bins"), "doc_id").select("region", "doc_id", "n", "bins")
+    small = small.repartition("region").sortWithinPartitions("region", "doc_id")
+    small = stored(small.mapInArrow(possible(least), "region long, doc_id long, n long"), "possible")
     tasks = small.select("region", F.lit(0).alias("i"), F.lit(0).alias("j"), "doc_id")
     links = None
     if large.limit(1).count():

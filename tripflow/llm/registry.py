@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tripflow.llm import lang_id, mix_sources, near_copies, quality_rules, secret_scan, toxicity
+from tripflow.llm import decontaminate, lang_id, mix_sources, near_copies, quality_rules, secret_scan, toxicity
 
 QUERIES = {
     "op1_secret_scan": secret_scan.query,
     "op3_toxicity": toxicity.query,
+    "op4_decontamination": decontaminate.query,
     "op5_mix_sources": mix_sources.query,
     "op6_quality_rules": quality_rules.query,
     "op9_jaccard_join": near_copies.query,
