@@ -33,23 +33,18 @@ def _logsum(x: np.ndarray, axis: int) -> np.ndarray:
     return (np.log(np.exp(x - top).sum(axis=axis, keepdims=True)) + top).squeeze(axis)
 
 
-def marginals(scores: np.ndarray, move: np.ndarray) -> np.ndarray:
-    """P(state of token) by forward and backward sums, for a batch of sequences.
+def _sums(scores: np.ndarray, move: np.ndarray, cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Forward and backward sums of sequences x tokens x states; ``cells`` marks the tokens.
 
-    ``scores``: sequences x tokens x states, filled up behind shorter sequences with 0.
+    Behind a sequence's last token there is nothing to sum.
     """
-    ahead, behind = _sums(scores, move)
-    both = ahead + behind
-    return np.exp(both - _logsum(both, 2)[..., None])
-
-
-def _sums(scores: np.ndarray, move: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     ahead, behind = np.empty_like(scores), np.zeros_like(scores)
     ahead[:, 0] = scores[:, 0]
     for t in range(1, scores.shape[1]):
         ahead[:, t] = scores[:, t] + _logsum(ahead[:, t - 1, :, None] + move, 1)
     for t in range(scores.shape[1] - 2, -1, -1):
-        behind[:, t] = _logsum(move + (scores[:, t + 1] + behind[:, t + 1])[:, None, :], 2)
+        rest = _logsum(move + (scores[:, t + 1] + behind[:, t + 1])[:, None, :], 2)
+        behind[:, t] = np.where(cells[:, t + 1, None], rest, 0.0)
     return ahead, behind
 
 
@@ -106,7 +101,7 @@ def train(
         move = weights[emit.size :].reshape(move.shape)
         flat = np.stack([np.bincount(rows, emit[ids, k], cells.size) for k in range(states)], 1)
         scores = flat.reshape(*cells.shape, states)
-        ahead, behind = _sums(scores, move)
+        ahead, behind = _sums(scores, move, cells)
         both = ahead + behind
         total = _logsum(both, 2)
         each = np.exp(both - total[..., None]) * cells[..., None]

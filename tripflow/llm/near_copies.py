@@ -511,5 +511,22 @@ def jaccard_join(
     return labelled.select("doc_id", "n_shingles", component.alias("component_id"), "digest")
 
 
+def one_of_each(docs: DataFrame, n: int = 5, least: int = 80, **settings: int) -> DataFrame:
+    """``docs`` with the document of smallest doc_id of each component, all columns as they were.
+
+    Of several rows of one doc_id the one with the smallest text stays. Rows without an id
+    or without words stay.
+    """
+    joined = jaccard_join(docs, n, least, **settings).where(F.col("doc_id").isNotNull())
+    by_id = joined.groupBy("doc_id").agg(F.min("component_id").alias("first"), F.count("*").alias("rows"))
+    by_id = stored(by_id.where((F.col("first") != F.col("doc_id")) | (F.col("rows") > 1)), "losers")
+    kept = docs.join(if_small(by_id.select("doc_id")), "doc_id", "left_anti").select(docs.columns)
+    repeated = by_id.where(F.col("first") == F.col("doc_id")).select("doc_id")
+    repeated = docs.join(if_small(repeated), "doc_id", "left_semi").select(docs.columns)
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    one = repeated.groupBy("doc_id").agg(F.min_by(whole, F.struct("text")).alias("row")).select("row.*")
+    return kept.unionByName(one)
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(read_table(spark, sf_dir, "documents")).drop("digest")

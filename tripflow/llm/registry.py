@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tripflow.llm import decontaminate, lang_id, mix_sources, near_copies, quality_rules, secret_scan, toxicity
+from tripflow.llm import decontaminate, lang_id, mix_sources, near_copies, page_text, personal_data, quality_rules, secret_scan, toxicity
 
 QUERIES = {
     "op1_secret_scan": secret_scan.query,
@@ -10,6 +10,8 @@ QUERIES = {
     "op4_decontamination": decontaminate.query,
     "op5_mix_sources": mix_sources.query,
     "op6_quality_rules": quality_rules.query,
+    "op7_html_extraction": page_text.query,
+    "op8_personal_data": personal_data.query,
     "op9_jaccard_join": near_copies.query,
     "op10_language_id": lang_id.query,
 }
