@@ -80,16 +80,22 @@ def sample_by_hash(rows: DataFrame, label: str, wanted: dict[int, int]) -> DataF
     return rows.where(F.col(label).isNotNull() & (place < F.create_map(*bounds)[F.col(label)]))
 
 
-def labelled_sample(
-    docs: DataFrame, labels: DataFrame, label: str, wanted: dict[int, int]
-) -> list[tuple[str, int]]:
-    """(text, label) of a bounded sample of labelled documents, in the order of their texts.
+def labelled_sample_rows(
+    docs: DataFrame, labels: DataFrame, label: str, wanted: dict[int, int], more: list[str]
+) -> list[tuple]:
+    """(text, label, more columns) of a bounded sample of labelled documents, in that order.
 
     A document with several labels counts with the largest; labels other than 0 and
-    1, null ids and null texts are left out. Equal texts count once.
+    1, null ids and null texts are left out. Equal rows count once.
     """
     one = labels.where(F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.max(label).alias("y"))
     chosen = sample_by_hash(one, "y", wanted)
-    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    rows = found.where(F.col("text").isNotNull()).select("text", F.col("y").cast("int")).collect()
-    return sorted({(r[0], r[1]) for r in rows})
+    found = docs.select("doc_id", "text", *more).join(F.broadcast(chosen), "doc_id")
+    found = found.where(F.col("text").isNotNull()).select("text", F.col("y").cast("int"), *more)
+    return sorted({tuple(r) for r in found.collect()}, key=repr)
+
+
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, label: str, wanted: dict[int, int]
+) -> list[tuple[str, int]]:
+    return labelled_sample_rows(docs, labels, label, wanted, [])

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tripflow.llm import decontaminate, lang_id, mix_sources, near_copies, page_text, personal_data, quality_rules, secret_scan, toxicity
+from tripflow.llm import decontaminate, lang_id, mix_sources, near_copies, page_text, personal_data, quality_model, quality_rules, secret_scan, toxicity
 
 QUERIES = {
     "op1_secret_scan": secret_scan.query,
+    "op2_quality_model": quality_model.query,
     "op3_toxicity": toxicity.query,
     "op4_decontamination": decontaminate.query,
     "op5_mix_sources": mix_sources.query,
