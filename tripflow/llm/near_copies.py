@@ -39,6 +39,8 @@ from tripflow.llm.components import connected
 
 #: Words whose hashes a task remembers.
 REMEMBERED = 1_000_000
+#: Sets of so many shingles are counted in finer parts.
+LARGE_SET = 2048
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -256,7 +258,7 @@ def edges_of(found: list[tuple[int, int]]) -> pa.RecordBatch:
 def measured_sets(docs: DataFrame, n: int, least: int, late: np.ndarray) -> DataFrame:
     """(doc_id, n_shingles, digest, bins, prefix) for each row; no digest for an empty set.
 
-    ``bins``: how many hashes of the set fall into each of 64 parts of their range.
+    ``bins``: see counted().
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -281,7 +283,9 @@ def measured_sets(docs: DataFrame, n: int, least: int, late: np.ndarray) -> Data
 
 
 def counted(hashes: np.ndarray) -> np.ndarray:
-    return np.bincount((hashes >> np.uint64(58)).astype(np.int64), minlength=64).astype(np.uint32)
+    """How many hashes fall into each part of their range: 64 parts, 1024 for large sets."""
+    parts = 10 if len(hashes) >= LARGE_SET else 6
+    return np.bincount((hashes >> np.uint64(64 - parts)).astype(np.int64), minlength=2**parts).astype(np.uint32)
 
 
 def possible(least: int):
@@ -292,19 +296,28 @@ def possible(least: int):
     """
 
     def kept(rows: list[tuple]) -> list[tuple]:
-        bins = np.array([np.frombuffer(r[3], np.uint32) for r in rows]).astype(np.int64)
-        sizes = bins.sum(axis=1)
+        bins = [np.frombuffer(r[3], np.uint32).astype(np.int64) for r in rows]
+        coarse = np.array([b.reshape(64, -1).sum(axis=1) for b in bins])
+        sizes = coarse.sum(axis=1)
         alive = np.zeros(len(rows), bool)
         for x in range(len(rows)):
-            if alive[x]:
-                others = np.flatnonzero(~alive)
-            else:
-                others = np.arange(len(rows))
+            fits = (100 * sizes >= least * sizes[x]) & (100 * sizes[x] >= least * sizes)
+            # One partner is enough for a set: pairs of two that have one may be left out.
+            others = np.flatnonzero(fits & ~alive if alive[x] else fits)
             others = others[others != x]
-            shared = np.minimum(bins[others], bins[x]).sum(axis=1)
-            near = others[linked(shared, sizes[others], sizes[x], least)]
-            alive[near] = True
-            alive[x] |= len(near) > 0
+            shared = np.minimum(coarse[others], coarse[x]).sum(axis=1)
+            others = others[linked(shared, sizes[others], sizes[x], least)]
+            if len(bins[x]) > 64:
+                others = np.array(
+                    [
+                        y for y in others.tolist()
+                        if len(bins[y]) == 64
+                        or linked(np.minimum(bins[x], bins[y]).sum(), sizes[x], sizes[y], least)
+                    ],
+                    np.int64,
+                )
+            alive[others] = True
+            alive[x] |= len(others) > 0
         return [r for r, stays in zip(rows, alive) if stays]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -453,7 +466,7 @@ def jaccard_join(
     weight: int = 4_000_000,
     most_sets: int = 4096,
     pivots: int = 16,
-    often: int = 16,
+    often: int = 4,
     bits: int = 23,
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, digest) for each row of ``docs``.
