@@ -84,9 +84,15 @@ def windows_of(docs: DataFrame, items: DataFrame, n: int, shift: int) -> DataFra
     # One row per shingle, however many items have it.
     known = known.groupBy("shingle").agg(F.collect_set(F.struct("item_at", "size")).alias("as_in"))
     places = docs.select("doc_id", lower_words(text_of("text")).alias("words"))
-    places = places.select("doc_id", shingles("words", n).alias("shingles"))
-    # "outer": else a filter on the array would be moved below it and compute it again.
-    places = places.select("doc_id", F.posexplode_outer("shingles").alias("at", "shingle"))
+    # Items of fewer words than a shingle are looked for as shingles of their own length.
+    shorter = [r[0] for r in items.where(F.col("size") < n).select("size").distinct().collect()]
+    found = None
+    for width in [n, *sorted(shorter)]:
+        rows = places.select("doc_id", shingles("words", width).alias("shingles"))
+        # "outer": else a filter on the array would be moved below it and compute it again.
+        rows = rows.select("doc_id", F.posexplode_outer("shingles").alias("at", "shingle"))
+        found = rows if found is None else found.union(rows)
+    places = found
     met = places.join(if_small(known), "shingle").select("doc_id", "at", F.explode("as_in").alias("as_in"))
     met = met.select("doc_id", (F.col("at") - F.col("as_in.item_at")).alias("at"), "as_in.size").distinct()
     around = F.explode(F.sequence(F.col("at") - shift, F.col("at") + shift))
@@ -104,8 +110,8 @@ def leaks(
 ) -> DataFrame:
     """(doc_id, item_id, similarity, start, size): the items that documents contain.
 
-    One row per document and item: the best window (the first of equals), by its first
-    word (counted from 0) and its length in words. A similarity of ``least`` or more
+    One row per document and item: the best window (of equals, the first that was tried),
+    by its first word (counted from 0) and its length in words. A similarity of ``least`` or more
     counts. Words are compared in lower case. Documents and items that are null, empty or
     without an id give no rows; rows with one doc_id are one document, repeated
     items one item. ``shift``: places before and behind an aligned window that are tried too.
