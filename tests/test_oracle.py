@@ -5,6 +5,8 @@ import pytest
 from conftest import TESTDATA
 
 from __spark_entry__ import entry, oracle_sql, queries
+from tripflow.catalog.oracle import ORACLE
+from tripflow.catalog.queries import QUERIES
 
 TYPES = {
     "int": "INTEGER",
@@ -24,10 +26,11 @@ def sql():
 
 
 def test_every_query_has_sql():
-    assert queries().keys() == oracle_sql().keys()
+    assert QUERIES.keys() == ORACLE.keys()
+    assert QUERIES.keys() <= queries().keys() and ORACLE.keys() <= oracle_sql().keys()
 
 
-@pytest.mark.parametrize("name", queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_equals_sql(name, spark, sql):
     result = queries()[name](spark, TESTDATA)
     expected = sql.sql(oracle_sql()[name])

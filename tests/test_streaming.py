@@ -6,6 +6,7 @@ import pytest
 from conftest import NOON, TESTDATA, trip
 from pyspark.sql import functions as F
 
+from tripflow.catalog.queries import QUERIES
 from tripflow.plans.stream import analyse, run_metrics, run_stream, stream_paths, stream_summary
 from tripflow.sources.derived import read_trips
 from tripflow.sources.tables import read_table
@@ -98,6 +99,50 @@ def test_ordered_files_equal_one_batch(spark, inbox):
         assert off.isEmpty()
 
 
+def test_a_bounded_run_never_ends_early_in_silence(spark, trips, inbox):
+    for minute in range(8):
+        inbox.put(trips(at(minute)))
+    options = {"state_partitions": 2}
+    with pytest.raises(TimeoutError, match="not finished"):
+        run_stream(spark, inbox.folder, f"{inbox.root}/out", f"{inbox.root}/state", 0.05, **options)
+    result = run(spark, inbox)
+    assert result.finished == {table.name: True for table in STREAM_TABLES}
+
+
+def test_totals_cover_more_batches_than_spark_keeps(spark, trips, inbox):
+    for minute in range(6):
+        inbox.put(trips(at(minute)))
+    kept = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    session = stream_session(spark, 2)
+    session.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    result = run_metrics(session, stream_trips(session, inbox.folder), f"{inbox.root}/out", f"{inbox.root}/state")
+    assert spark.conf.get("spark.sql.streaming.numRecentProgressUpdates") == kept
+    assert totals(result.totals, "input_rows") == {table.name: 6 for table in STREAM_TABLES}
+
+
+def test_tables_of_a_stream_without_a_batch(spark, inbox):
+    output = f"{inbox.root}/out"
+    session = stream_session(spark, 2)
+    queries = start_streams(
+        {"time_metrics": TIME.build(clean_stream(stream_trips(session, inbox.folder)))},
+        f"{output}/streaming",
+        f"{inbox.root}/state",
+    )
+    wait_for(queries)
+    assert {r.row_count for r in stream_summary(spark, output).collect()} == {0}
+    assert analyse(spark, output) == {}
+
+
+def test_a_folder_table_streams_like_a_file(spark, tmp_path):
+    events = spark.read.parquet(f"{TESTDATA}/events.parquet")
+    events.repartition(3).write.parquet(f"{tmp_path}/events.parquet")
+    ours = QUERIES["stream_payment_metrics"](spark, str(tmp_path)).collect()
+    theirs = QUERIES["stream_payment_metrics"](spark, TESTDATA).collect()
+    assert sorted(map(str, ours)) == sorted(map(str, theirs)) and ours
+    with pytest.raises(FileNotFoundError):
+        QUERIES["stream_run_report"](spark, f"{tmp_path}/none")
+
+
 def test_open_windows_wait_and_late_trips_are_dropped(spark, trips, inbox):
     inbox.put(trips(at(0), at(1)))
     inbox.put(trips(at(60)))

@@ -40,4 +40,4 @@ def payment_label(code: str = "payment_type") -> Column:
     for number, label in PAYMENT_LABELS.items():
         pairs += [F.lit(number).cast("long"), F.lit(label)]
     known = F.try_element_at(F.create_map(*pairs), F.col(code).cast("long"))
-    return F.coalesce(known, F.concat(F.lit("Type "), F.col(code).cast("string")))
+    return F.coalesce(known, F.concat(F.lit("Type "), F.coalesce(F.col(code).cast("string"), F.lit("None"))))

@@ -7,6 +7,7 @@ lineage: a lost executor costs its own tasks, and no layer is computed twice.
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tripflow.operators import bronze, gold, quality, silver
 from tripflow.schema import BRONZE_TABLE, GOLD_FOLDER, SILVER_TABLE
-from tripflow.sources.scratch import scratch_path
+from tripflow.sources.files import remove
 from tripflow.sources.tables import read_table, row_counts, write_table
 from tripflow.sources.trips import read_raw_trips
 
@@ -61,7 +62,7 @@ def build_gold(
     fmt: str = "parquet",
     units: Mapping[str, int] | None = None,
 ) -> dict[str, DataFrame]:
-    """The four tables from one scan of silver, through a rollup kept in scratch.
+    """The four tables from one scan of silver, through a rollup below ``output``.
 
     ``units`` as in :mod:`tripflow.functions.totals`.
     """
@@ -72,7 +73,7 @@ def build_gold(
     for issue in issues:
         log.warning(issue.message)
 
-    rollup_path = scratch_path(spark, "trip-rollup")
+    rollup_path = f"{output}/_trip-rollup-{uuid.uuid4().hex}"
     write_table(gold.trip_rollup(gold.fill_missing_features(silver_rows), units), rollup_path)
     tables = gold.gold_from_rollup(read_table(spark, rollup_path), units)
     paths = gold_paths(output)
@@ -82,8 +83,11 @@ def build_gold(
         write_table(rows, paths[table.name], table.partitions, fmt)
 
     # Short jobs on the small rollup: side by side they wait for each other less.
-    with ThreadPoolExecutor(len(gold.GOLD_TABLES)) as pool:
-        list(pool.map(write, gold.GOLD_TABLES))
+    try:
+        with ThreadPoolExecutor(len(gold.GOLD_TABLES)) as pool:
+            list(pool.map(write, gold.GOLD_TABLES))
+    finally:
+        remove(spark, rollup_path)
     return {name: read_table(spark, path, fmt) for name, path in paths.items()}
 
 

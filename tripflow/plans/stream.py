@@ -13,12 +13,25 @@ from tripflow.sources.tables import find_table, row_counts
 from tripflow.sources.trips import stream_trips
 from tripflow.streaming import reports
 from tripflow.streaming.metrics import STREAM_TABLES, WindowedMetrics, clean_stream
-from tripflow.streaming.run import progress_report, start_streams, stream_session, wait_for
+from tripflow.streaming.run import (
+    RunTotals,
+    progress_report,
+    start_streams,
+    stream_session,
+    wait_for,
+)
 
 
 @dataclass(frozen=True)
 class StreamResult:
+    """``totals``: sums over the run by query; ``progress``: its latest batches.
+
+    ``finished``: which queries took all that was there and ended by themselves.
+    """
+
     progress: DataFrame
+    totals: DataFrame
+    finished: dict[str, bool]
     paths: dict[str, str]
 
 
@@ -31,7 +44,7 @@ def run_stream(
     folder: str,
     output: str,
     checkpoint: str,
-    seconds: float = 600.0,
+    seconds: float | None = None,
     fmt: str = "parquet",
     trigger: Mapping[str, object] | None = None,
     files_per_batch: int | None = 1,
@@ -41,7 +54,8 @@ def run_stream(
 
     By default all files present are taken and the run ends; pass
     ``trigger={"processingTime": "30 seconds"}`` to keep watching the folder
-    until ``seconds`` are over.
+    until ``seconds`` are over. A run that is to end by itself and does not within
+    ``seconds`` raises ``TimeoutError``; its checkpoint lets another one go on.
     """
     session = stream_session(spark, state_partitions)
     trips = stream_trips(session, folder, files_per_batch)
@@ -53,7 +67,7 @@ def run_metrics(
     trips: DataFrame,
     output: str,
     checkpoint: str,
-    seconds: float = 600.0,
+    seconds: float | None = None,
     fmt: str = "parquet",
     trigger: Mapping[str, object] | None = None,
     tables: Sequence[WindowedMetrics] = STREAM_TABLES,
@@ -62,9 +76,15 @@ def run_metrics(
     clean = clean_stream(trips)
     metrics = {table.name: table.build(clean, totals) for table in tables}
     queries = start_streams(metrics, f"{output}/{STREAM_FOLDER}", checkpoint, fmt, trigger)
-    wait_for(queries, seconds)
+    totals_of_run = RunTotals()
+    finished = wait_for(queries, seconds, totals=totals_of_run)
+    unfinished = sorted(name for name, ended in finished.items() if not ended)
+    if unfinished and not (trigger and "processingTime" in trigger):
+        raise TimeoutError(f"not finished within {seconds} seconds: {', '.join(unfinished)}")
     paths = {name: path for name, path in stream_paths(output).items() if name in queries}
-    return StreamResult(progress_report(session, queries), paths)
+    return StreamResult(
+        progress_report(session, queries), totals_of_run.frame(session), finished, paths
+    )
 
 
 def analyse(spark: SparkSession, output: str, fmt: str = "parquet") -> dict[str, DataFrame]:

@@ -14,6 +14,7 @@ from pyspark.sql.types import (
 )
 
 from tripflow.schema import DROPOFF, PICKUP
+from tripflow.sources.files import has_data, is_folder
 from tripflow.sources.trips import stream_trips
 
 # Declared, because a watermark needs a timestamp with a zone.
@@ -78,5 +79,13 @@ def read_trips_over_months(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_trips_of_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = stream_trips(spark, sf_dir, schema=EVENT_SCHEMA, file_pattern="events.parquet")
+    """The table as a stream, whether it is one file or a folder of parts."""
+    table = f"{sf_dir}/events.parquet"
+    if not has_data(spark, table):
+        raise FileNotFoundError(f"no file of the table {table}")
+    if is_folder(spark, table):
+        # Parts of a table have no order in time: one batch, so that none is late.
+        events = stream_trips(spark, table, None, EVENT_SCHEMA)
+    else:
+        events = stream_trips(spark, sf_dir, schema=EVENT_SCHEMA, file_pattern="events.parquet")
     return trips_of(events)

@@ -9,6 +9,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripflow.sources.files import has_data
+
 
 def write_table(
     rows: DataFrame,
@@ -51,7 +53,9 @@ def read_table(
 
 
 def find_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
-    """The table, or None where there is none yet."""
+    """The table, or None where there is none yet, or a stream has not written to it."""
+    if fmt != "delta" and not has_data(spark, path):
+        return None
     try:
         return read_table(spark, path, fmt)
     except AnalysisException as error:

@@ -20,21 +20,27 @@ _PROGRESS_SCHEMA = StructType(
     ]
 )
 
-
-_MOST_STATE_PARTITIONS = 64
+_TOTALS_SCHEMA = StructType(
+    [
+        StructField("query", StringType()),
+        StructField("batches", LongType()),
+        StructField("input_rows", LongType()),
+        StructField("late_groups_dropped", LongType()),
+        StructField("batch_milliseconds", LongType()),
+    ]
+)
 
 
 def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
     """A sibling session for streams, so their settings do not reach the caller's.
 
-    State is bounded by keys times open windows, far less than a batch shuffles,
-    so by default it gets a partition per core, up to 64. A checkpoint keeps the
-    number it began with.
+    State gets ``state_partitions``, by default as many as the caller's shuffles. A
+    checkpoint keeps the number it began with.
     """
     session = spark.newSession()
     session.conf.set("spark.sql.session.timeZone", "UTC")
     if state_partitions is None:
-        state_partitions = min(spark.sparkContext.defaultParallelism, _MOST_STATE_PARTITIONS)
+        state_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     session.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
     return session
 
@@ -64,24 +70,61 @@ def start_streams(
     return started
 
 
+class RunTotals:
+    """Sums over all micro-batches of a run.
+
+    Spark keeps the last hundred batches of a query only, so they are taken up
+    while the run goes on.
+    """
+
+    def __init__(self) -> None:
+        self._seen: dict[str, str] = {}
+        self._sums: dict[str, list[int]] = {}
+
+    def take(self, queries: Mapping[str, StreamingQuery]) -> None:
+        for name, query in queries.items():
+            sums = self._sums.setdefault(name, [0, 0, 0, 0])
+            for batch in query.recentProgress:
+                # Equal stamps do not occur: a query runs one batch at a time.
+                if batch.timestamp <= self._seen.get(name, ""):
+                    continue
+                self._seen[name] = batch.timestamp
+                dropped = sum(state.numRowsDroppedByWatermark for state in batch.stateOperators)
+                news = (1, batch.numInputRows, dropped, batch.batchDuration)
+                sums[:] = [a + b for a, b in zip(sums, news)]
+
+    def frame(self, spark: SparkSession) -> DataFrame:
+        rows = [(name, *sums) for name, sums in self._sums.items()]
+        return spark.createDataFrame(rows, _TOTALS_SCHEMA)
+
+
 def wait_for(
-    queries: Mapping[str, StreamingQuery], seconds: float, poll_seconds: float = 1.0
-) -> None:
+    queries: Mapping[str, StreamingQuery],
+    seconds: float | None = None,
+    poll_seconds: float = 1.0,
+    totals: RunTotals | None = None,
+) -> dict[str, bool]:
     """Until all queries end, the time is up, or one fails; then stop them all.
 
-    A failure is raised. A query cut off by time resumes from its checkpoint.
+    Returns which queries ended by themselves. A failure is raised. A query cut off by
+    time resumes from its checkpoint. Without ``seconds`` there is no limit.
     """
-    deadline = time.monotonic() + seconds
-    running = list(queries.values())
+    totals = totals or RunTotals()
+    deadline = None if seconds is None else time.monotonic() + seconds
+    running = dict(queries)
     try:
-        while running and (left := deadline - time.monotonic()) > 0:
+        while running and (deadline is None or time.monotonic() < deadline):
+            left = poll_seconds if deadline is None else deadline - time.monotonic()
             # Raises what ended the query awaited, if it failed.
-            running[0].awaitTermination(min(poll_seconds, left))
+            next(iter(running.values())).awaitTermination(max(0.001, min(poll_seconds, left)))
+            totals.take(queries)
             _raise_failure(queries)
-            running = [query for query in running if query.isActive]
+            running = {name: query for name, query in running.items() if query.isActive}
     finally:
         stop_all(queries)
+    totals.take(queries)
     _raise_failure(queries)
+    return {name: name not in running for name in queries}
 
 
 def _raise_failure(queries: Mapping[str, StreamingQuery]) -> None:
