@@ -272,7 +272,7 @@ def measured_sets(docs: DataFrame, n: int, least: int, late: np.ndarray) -> Data
                     batch.column(0),
                     pa.array([len(x) for x in sets], pa.int64()),
                     pa.array(digests, pa.binary()),
-                    pa.array([counted(x).tobytes() for x in sets], pa.binary()),
+                    pa.array([counted(x) for x in sets], pa.binary()),
                     pa.array(prefixes, pa.list_(pa.int64())),
                 ],
                 names=["doc_id", "n_shingles", "digest", "bins", "prefix"],
@@ -282,10 +282,16 @@ def measured_sets(docs: DataFrame, n: int, least: int, late: np.ndarray) -> Data
     return rows.mapInArrow(run, "doc_id long, n_shingles long, digest binary, bins binary, prefix array<long>")
 
 
-def counted(hashes: np.ndarray) -> np.ndarray:
+def counted(hashes: np.ndarray) -> bytes:
     """How many hashes fall into each part of their range: 64 parts, 1024 for large sets."""
     parts = 10 if len(hashes) >= LARGE_SET else 6
-    return np.bincount((hashes >> np.uint64(64 - parts)).astype(np.int64), minlength=2**parts).astype(np.uint32)
+    counts = np.bincount((hashes >> np.uint64(64 - parts)).astype(np.int64), minlength=2**parts)
+    return counts.astype(np.uint16 if counts.max() < 2**16 else np.uint32).tobytes()
+
+
+def counts_of(stored_counts: bytes) -> np.ndarray:
+    wide = len(stored_counts) == 4 * 1024
+    return np.frombuffer(stored_counts, np.uint32 if wide else np.uint16).astype(np.int64)
 
 
 def possible(least: int):
@@ -296,7 +302,7 @@ def possible(least: int):
     """
 
     def kept(rows: list[tuple]) -> list[tuple]:
-        bins = [np.frombuffer(r[3], np.uint32).astype(np.int64) for r in rows]
+        bins = [counts_of(r[3]) for r in rows]
         coarse = np.array([b.reshape(64, -1).sum(axis=1) for b in bins])
         sizes = coarse.sum(axis=1)
         alive = np.zeros(len(rows), bool)
@@ -466,7 +472,7 @@ def jaccard_join(
     weight: int = 4_000_000,
     most_sets: int = 4096,
     pivots: int = 16,
-    often: int = 4,
+    often: int = 2,
     bits: int = 23,
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, digest) for each row of ``docs``.
@@ -490,12 +496,12 @@ def jaccard_join(
     reps = known.join(
         if_small(classes.select(F.col("rep").alias("doc_id"), F.col("digest").alias("of"))), "doc_id"
     ).where(F.col("digest") == F.col("of"))
-    postings = reps.select("doc_id", F.col("n_shingles").alias("n"), F.explode("prefix").alias("shingle"))
+    postings = reps.select("doc_id", F.explode("prefix").alias("shingle"))
     elected = postings.groupBy("shingle").agg(F.min("doc_id").alias("region"), F.max("doc_id").alias("last"))
     elected = elected.where(F.col("region") != F.col("last")).select("shingle", "region")
-    members = stored(
-        postings.join(elected, "shingle").groupBy("region", "doc_id").agg(F.max("n").alias("n")), "regions"
-    )
+    members = postings.join(elected, "shingle").select("region", "doc_id").distinct()
+    sizes = reps.groupBy("doc_id").agg(F.max("n_shingles").alias("n"))
+    members = stored(members.join(sizes, "doc_id").select("region", "doc_id", "n"), "regions")
     weights = members.groupBy("region").agg(F.sum("n").alias("weight"), F.count("*").alias("sets"))
     is_large = (F.col("weight") > weight) | (F.col("sets") > most_sets)
     large = weights.where(is_large)
