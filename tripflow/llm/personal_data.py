@@ -35,7 +35,7 @@ SCHEMA = (
 # The patterns. Each is written so that it takes time in line with the text.
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
-DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)+")
+DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 PARTS = re.compile(r"[0-9]+")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
