@@ -549,3 +549,26 @@ def one_of_each(docs: DataFrame, n: int = 5, least: int = 80, **settings: int) -
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(read_table(spark, sf_dir, "documents")).drop("digest")
+
+
+SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS shingle
+  FROM words),
+sizes AS (SELECT doc_id, count(shingle) AS n FROM words LEFT JOIN shingles USING (doc_id) GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingles a JOIN shingles b USING (shingle)
+  WHERE a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * shared.n >= 85 * (x.n + y.n - shared.n)),
+reached AS (
+  SELECT doc_id, doc_id AS from_id FROM documents
+  UNION SELECT links.b, reached.from_id FROM reached JOIN links ON reached.doc_id = links.a)
+SELECT doc_id, n AS n_shingles, min(from_id) AS component_id
+FROM reached JOIN sizes USING (doc_id) GROUP BY doc_id, n
+"""

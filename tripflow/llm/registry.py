@@ -18,5 +18,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op1_secret_scan": secret_scan.SQL,
     "op5_mix_sources": mix_sources.SQL,
+    "op9_jaccard_join": near_copies.SQL,
 }

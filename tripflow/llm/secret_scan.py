@@ -214,3 +214,59 @@ def redacted(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(read_table(spark, sf_dir, "documents"))
+
+
+def _sql() -> str:
+    """The same in DuckDB's SQL; every window is counted anew."""
+    spans = """
+      SELECT doc_id, kind, place AS s, place + length(m) AS e, m FROM (
+        SELECT doc_id, {kind} AS kind, m[i] AS m, (list_sum(list_transform(g[1:i], lambda x: length(x)))
+          + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0))::BIGINT AS place FROM (
+          SELECT doc_id, m, g, unnest(range(1, len(m) + 1)) AS i FROM (
+            SELECT doc_id, regexp_extract_all(text, '{p}') AS m, string_split_regex(text, '{p}') AS g
+            FROM documents WHERE regexp_matches(text, '{p}'))))"""
+    patterns = (ASSIGN, r"AKIA[A-Z0-9]{12,}", r"[0-9a-f]{32,}", CANDIDATE)
+    found = " UNION ALL ".join(
+        spans.format(kind=k, p=p.replace("'", "''")) for k, p in enumerate(patterns)
+    )
+    terms = ", ".join(map(str, TERMS))
+    allowed = " OR ".join(f"regexp_matches(m, '{p}')" for p in ALLOWED)
+    kinds = ", ".join(f"'{k}'" for k in KINDS)
+    listed_ = "string_agg([{kinds}][kind + 1] || ':' || s || ':' || e, ',' ORDER BY s, kind)"
+    listed_ = listed_.format(kinds=kinds)
+    assign = ASSIGN.replace("'", "''")
+    return f"""
+WITH found AS ({found}),
+base AS (SELECT * FROM found WHERE kind IN (1, 2)
+  OR kind = 0 AND length(regexp_extract(m, '{assign}', 2)) >= {LEAST_ASSIGN}),
+windows AS (
+  SELECT doc_id, s, i, substr(m, i, {WINDOW}) AS w FROM (
+    SELECT doc_id, s, m, unnest(range(1, length(m) - {WINDOW} + 2)) AS i FROM found
+    WHERE kind = 3 AND NOT ({allowed}))),
+counted AS (
+  SELECT doc_id, s, i, any_value(w) AS w, sum([{terms}][n + 1]) AS terms FROM (
+    SELECT doc_id, s, i, any_value(w) AS w, count(*) AS n FROM (
+      SELECT doc_id, s, i, w, unnest(string_split(w, '')) AS c FROM windows)
+    GROUP BY doc_id, s, i, c)
+  GROUP BY doc_id, s, i),
+mixed AS (
+  SELECT doc_id, 3 AS kind, s + min(i) - 1 AS s, s + max(i) - 1 + {WINDOW} AS e FROM counted
+  WHERE regexp_matches(w, '[0-9]') AND regexp_matches(w, '[A-Za-z]') AND terms <=
+    CASE WHEN regexp_full_match(w, '[0-9a-f]+') THEN {MOST_TERMS["hex"]} ELSE {MOST_TERMS["mixed"]} END
+  GROUP BY doc_id, s),
+added AS (SELECT * FROM mixed x WHERE NOT EXISTS (
+  SELECT 1 FROM base b WHERE b.doc_id = x.doc_id AND b.s < x.e AND x.s < b.e)),
+every AS (SELECT doc_id, kind, s, e FROM base UNION ALL SELECT doc_id, kind, s, e FROM added),
+per_doc AS (
+  SELECT doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access,
+    count(*) FILTER (kind = 2) AS n_hex, count(*) FILTER (kind = 3) AS n_entropy,
+    coalesce({listed_} FILTER (kind < 3), '') AS base, {listed_} AS spans
+  FROM every GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+  coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
+  coalesce(n_entropy, 0) AS n_entropy
+FROM documents LEFT JOIN per_doc USING (doc_id)
+"""
+
+
+SQL = _sql()
