@@ -252,3 +252,66 @@ def keep_good(docs: DataFrame, labels: DataFrame, **settings: float) -> DataFram
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def _sql(risk: float = 0.02, error: float = 0.05, cost: float = 20.0) -> str:
+    """The same in DuckDB's SQL."""
+    features = ", ".join(
+        f"{{'rule': '{rule}', 'x': {scale} * {part} // greatest({whole}, 1)}}"
+        for rule, (scale, part, whole) in RULES.items()
+    )
+    share = risk / len(RULES)
+    return rf"""
+WITH words AS (
+  SELECT doc_id, lang, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+  FROM documents),
+grams AS (
+  SELECT doc_id, i, w[i:i + 2] AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM words)),
+twice AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS c FROM grams) WHERE c > 1),
+covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM twice)
+  GROUP BY doc_id),
+counts AS (
+  SELECT doc_id, lang AS stratum, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+    len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+    (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words,
+    len(l)::BIGINT AS n_lines, len(regexp_extract_all(text, '!'))::BIGINT AS n_shouts
+  FROM words LEFT JOIN covered USING (doc_id)),
+measured AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+    [{features}] AS features FROM counts),
+labelled AS (
+  SELECT stratum, quality, unnest(features) AS f FROM measured
+  JOIN (SELECT doc_id, min(quality) AS quality FROM labels GROUP BY doc_id) USING (doc_id)
+  WHERE NOT base_failed AND quality IN (0, 1)),
+sizes AS (
+  SELECT stratum, f.rule AS rule, sum(quality) AS n, {error} / count(*) OVER () AS level
+  FROM labelled GROUP BY stratum, f.rule),
+steps AS (
+  SELECT *, sum(exp(p)) OVER (PARTITION BY stratum, rule ORDER BY i) AS below FROM (
+    SELECT *, n * ln(1 - {share}) + coalesce(sum(ln((n - i + 1) * {share} / (i * (1 - {share}))))
+      FILTER (i > 0) OVER (PARTITION BY stratum, rule ORDER BY i), 0) AS p
+    FROM (SELECT *, unnest(range(0, n::BIGINT + 1)) AS i FROM sizes WHERE n > 0))),
+most AS (
+  SELECT stratum, rule, coalesce(max(i) FILTER (below <= level), -1) AS k FROM steps GROUP BY stratum, rule),
+tested AS (
+  SELECT stratum, f.rule AS rule, cutoff, sum(quality) FILTER (f.x > cutoff) AS good,
+    sum(1 - quality) FILTER (f.x > cutoff) AS poor
+  FROM labelled, (SELECT unnest({list(CUTOFFS)}) AS cutoff) GROUP BY stratum, f.rule, cutoff),
+chosen AS (
+  SELECT t.stratum, t.rule, arg_max(cutoff, [coalesce(poor, 0) - {cost} * coalesce(good, 0), cutoff]) AS cutoff
+  FROM tested t JOIN most m ON t.stratum IS NOT DISTINCT FROM m.stratum AND t.rule = m.rule
+  WHERE coalesce(good, 0) <= k AND coalesce(poor, 0) - {cost} * coalesce(good, 0) > 0
+  GROUP BY t.stratum, t.rule),
+rejected AS (
+  SELECT DISTINCT doc_id FROM (SELECT doc_id, stratum, unnest(features) AS f FROM measured) m
+  JOIN chosen c ON m.stratum IS NOT DISTINCT FROM c.stratum AND m.f.rule = c.rule WHERE m.f.x > c.cutoff)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM rejected) AS kept
+FROM measured
+"""
+
+
+SQL = _sql()

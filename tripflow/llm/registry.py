@@ -20,5 +20,6 @@ QUERIES = {
 ORACLE = {
     "op1_secret_scan": secret_scan.SQL,
     "op5_mix_sources": mix_sources.SQL,
+    "op6_quality_rules": quality_rules.SQL,
     "op9_jaccard_join": near_copies.SQL,
 }
