@@ -289,6 +289,14 @@ SELECT trip_id, {_SCORE} AS quality_score FROM featured""",
     "dq_uniqueness": f"WITH {_TRIPS}\n"
     + _uniqueness("VendorID, PULocationID, payment_type", "trips"),
     "dq_uniqueness_whole_rows": f"WITH {_TRIPS}\n" + _uniqueness("*", "trips"),
+    "dq_uniqueness_copies": f"""WITH {_TRIPS}, copied AS (
+  SELECT * EXCLUDE (trip_id) FROM trips
+  UNION ALL SELECT * EXCLUDE (trip_id) FROM trips WHERE trip_id % 10 = 0)
+""" + _uniqueness("*", "copied"),
+    "bronze_stamps": "SELECT count(*) AS stamped, count(*) AS with_file FROM events",
+    "payment_labels": f"""WITH {_TRIPS} SELECT trip_id, CASE WHEN trip_id % 7 = 0 THEN 'Type None'
+  WHEN trip_id % 7 = 1 THEN 'Type 9' ELSE ['Credit Card', 'Cash', 'No Charge', 'Dispute', 'Unknown',
+  'Voided'][payment_type] END AS label FROM trips""",
     "dq_report": f"WITH {_TRIPS}, {_FEATURED}\n"
     + _graded(
         _rates(

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from tripflow.functions.features import payment_label
 from tripflow.functions.rules import CLEAN_INPUT, keep
 from tripflow.functions.totals import RollupTotals, TripTotals
 from tripflow.operators import bronze, gold, profile, quality, reports, silver
@@ -172,6 +173,29 @@ def dq_uniqueness_whole_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.uniqueness(_trips(spark, sf_dir), whole_rows=True)
 
 
+def dq_uniqueness_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All columns but the id, with a copy of every tenth trip among them."""
+    trips = _trips(spark, sf_dir)
+    copied = trips.union(trips.where("trip_id % 10 = 0")).drop("trip_id")
+    return quality.uniqueness(copied)
+
+
+def bronze_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows with an ingestion time not behind the clock, and rows with a file."""
+    rows = bronze.with_lineage(_trips(spark, sf_dir))
+    return rows.agg(
+        F.count_if(F.col("ingestion_timestamp") <= F.current_timestamp()).alias("stamped"),
+        F.count_if(F.col("source_file") != "").alias("with_file"),
+    )
+
+
+def payment_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of known, unknown and missing codes."""
+    code = F.expr("CASE WHEN trip_id % 7 = 0 THEN null WHEN trip_id % 7 = 1 THEN 9 ELSE payment_type END")
+    rows = _trips(spark, sf_dir).withColumn("payment_type", code)
+    return rows.select("trip_id", payment_label().alias("label"))
+
+
 def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     metrics = quality.quality_metrics(_featured(spark, sf_dir), _UNIQUE_OVER)
     return quality.graded(metrics).select("metric", "score", "status")
@@ -387,6 +411,9 @@ QUERIES: dict[str, Query] = {
     "dq_consistency": dq_consistency,
     "dq_uniqueness": dq_uniqueness,
     "dq_uniqueness_whole_rows": dq_uniqueness_whole_rows,
+    "dq_uniqueness_copies": dq_uniqueness_copies,
+    "bronze_stamps": bronze_stamps,
+    "payment_labels": payment_labels,
     "dq_report": dq_report,
     "dq_report_silver": dq_report_silver,
     "gold_hourly": gold_table(gold.HOURLY),
