@@ -522,11 +522,11 @@ def jaccard_join(
     if links is not None:
         found = found.union(links)
     parts = connected(found)
-    labelled = sets.join(classes, "digest", "left").join(
-        parts.select(F.col("node").alias("rep"), "component"), "rep", "left"
-    )
-    component = F.coalesce("component", "rep", "doc_id")
-    # Several texts of one id: the smallest of what each of them reaches.
+    named = classes.join(parts.select(F.col("node").alias("rep"), "component"), "rep", "left")
+    named = stored(named.select("digest", F.coalesce("component", "rep").alias("component")), "classes")
+    # Two plain tables: adaptive execution can split the join at a class of very many copies.
+    labelled = sets.join(named, "digest", "left")
+    component = F.coalesce("component", "doc_id")
     return labelled.select("doc_id", "n_shingles", component.alias("component_id"), "digest")
 
 
