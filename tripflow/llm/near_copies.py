@@ -480,8 +480,9 @@ def jaccard_join(
     Two documents are linked if their sets of ``n``-word shingles have a Jaccard
     similarity of ``least`` hundredths or more; ``component_id`` is the smallest doc_id
     reachable over links. ``digest`` names the set. A text of fewer words is one shingle;
-    a null or empty text has none and is linked with nothing. Rows of one doc_id are one
-    document, linked by any of its texts; a row with a null id is linked with nothing.
+    a null or empty text has none and is linked with nothing. A row's component is that of
+    its text, also where an id has several texts; a row with a null id is linked with nothing
+    but equal texts.
     Shingles are 64-bit hashes: a false link would take a collision for every shingle
     that two sets seem to share.
 
