@@ -50,7 +50,8 @@ def if_small(rows: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
 
     Beyond that the join shuffles both sides.
     """
-    return F.broadcast(rows) if rows.limit(most + 1).count() <= most else rows
+    # A count and no limit: a limit would bring the rows of all partitions into one task.
+    return F.broadcast(rows) if rows.count() <= most else rows
 
 
 def free_name(rows: DataFrame, wanted: str) -> str:
