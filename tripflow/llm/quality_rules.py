@@ -13,9 +13,6 @@ labelled poor documents, where a good one turned away costs ``cost`` poor ones.
 
 from __future__ import annotations
 
-import math
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 

@@ -22,7 +22,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tripflow.llm import crf
 from tripflow.llm.common import labelled_sample, read_table, remainder
