@@ -129,6 +129,24 @@ def test_leaks(spark, edges, no_docs):
     assert decontaminate.leaks(table, benchmark.limit(0)).count() == 0
 
 
+def test_leaks_cut_by_the_edges_of_documents(spark):
+    random.seed(8)
+    pick = lambda n: [f"w{random.randrange(5000)}" for _ in range(n)]
+    items = [(k, pick(40)) for k in range(3)]
+    docs = []
+    for _, of in items:
+        for cut in range(2, 6):
+            docs += [of[cut:] + pick(30), pick(30) + of[:-cut], of[cut:] + pick(cut), pick(cut - 1) + of[:-cut]]
+    docs = [(k, " ".join(ws)) for k, ws in enumerate(docs)]
+    items = [(k, " ".join(of)) for k, of in items]
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    rows = decontaminate.leaks(table, spark.createDataFrame(items, "item_id long, text string")).collect()
+    expected = leaks_by_hand(docs, items)
+    assert {(r.doc_id, r.item_id): (r.similarity, r.start) for r in rows} == expected
+    # Cut by 2 to 4 words, in each of three items: at the start, the end, and as the only window.
+    assert len(expected) == 3 * 3 * 3
+
+
 def test_mix(edges, no_docs):
     rows = mix_sources.mix_sources(edges.withColumn("size", F.lit("x"))).collect()
     assert len(rows) == edges.count()

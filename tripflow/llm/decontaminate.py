@@ -4,7 +4,7 @@ A window of a document, as long as an item, is compared with the item by the wei
 Jaccard similarity of their word shingles (each weighs as often as it occurs). Only
 windows that share a shingle with an item can pass, so fingerprints are taken around
 such places only: the window that puts the shared shingle where the item has it,
-and its neighbours. SimHash fingerprints of these windows are looked up among the
+and its neighbours, moved into the document where they stick out of it. SimHash fingerprints of these windows are looked up among the
 items' by a multi-index: fingerprints within ``radius`` bits agree in at least one of
 ``radius + 1`` blocks of bits (pigeonhole), so equal blocks miss none of them. Each
 pair found is verified exactly.
@@ -84,19 +84,24 @@ def windows_of(docs: DataFrame, items: DataFrame, n: int, shift: int) -> DataFra
     # One row per shingle, however many items have it.
     known = known.groupBy("shingle").agg(F.collect_set(F.struct("item_at", "size")).alias("as_in"))
     places = docs.select("doc_id", lower_words(text_of("text")).alias("words"))
+    places = places.withColumn("n_words", F.size("words"))
     # Items of fewer words than a shingle are looked for as shingles of their own length.
     shorter = [r[0] for r in items.where(F.col("size") < n).select("size").distinct().collect()]
     found = None
     for width in [n, *sorted(shorter)]:
-        rows = places.select("doc_id", shingles("words", width).alias("shingles"))
+        rows = places.select("doc_id", "n_words", shingles("words", width).alias("shingles"))
         # "outer": else a filter on the array would be moved below it and compute it again.
-        rows = rows.select("doc_id", F.posexplode_outer("shingles").alias("at", "shingle"))
+        rows = rows.select("doc_id", "n_words", F.posexplode_outer("shingles").alias("at", "shingle"))
         found = rows if found is None else found.union(rows)
     places = found
-    met = places.join(if_small(known), "shingle").select("doc_id", "at", F.explode("as_in").alias("as_in"))
-    met = met.select("doc_id", (F.col("at") - F.col("as_in.item_at")).alias("at"), "as_in.size").distinct()
-    around = F.explode(F.sequence(F.col("at") - shift, F.col("at") + shift))
-    met = met.select("doc_id", around.alias("start"), "size").where(F.col("start") >= 0)
+    met = places.join(if_small(known), "shingle").select("doc_id", "n_words", "at", F.explode("as_in").alias("as_in"))
+    # The last start at which the document has a window of that size.
+    met = met.withColumn("last", F.col("n_words") - F.col("as_in.size")).where(F.col("last") >= 0)
+    met = met.select("doc_id", "last", (F.col("at") - F.col("as_in.item_at")).alias("at"), "as_in.size").distinct()
+    around = F.explode(F.sequence(F.col("at") - shift, F.col("at") + shift)).alias("start")
+    met = met.select("doc_id", "last", around, "size")
+    # An item cut by the document's edge: the window at the edge has all that is left of it.
+    met = met.withColumn("start", F.greatest(F.lit(0), F.least("start", "last")))
     return met.groupBy("doc_id").agg(F.collect_set(F.struct("start", "size")).alias("windows"))
 
 
