@@ -76,6 +76,24 @@ def test_secrets(spark, edges, no_docs):
     assert secret_scan.scan(no_docs).count() == 0
 
 
+def test_secrets_joined_to_others_are_redacted(spark):
+    random.seed(6)
+    pick = lambda n, of: "".join(random.choice(of) for _ in range(n))
+    digits, alnum = "0123456789abcdef", string.ascii_letters + string.digits
+    keys = [pick(40, alnum) for _ in range(4)]
+    texts = [
+        f"x AKIA{pick(16, string.ascii_uppercase)}/{keys[0]} y",
+        f"x {pick(40, digits)}-{keys[1]} y",
+        f"x {keys[2]}_{pick(32, digits)}_{keys[3]} y",
+        f"x {pick(40, digits)}-some-long-list-of-plain-words y",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    clean = {r.doc_id: r.text for r in secret_scan.redacted(docs).collect()}
+    # Keys go from their first to their last mixed window; single characters may stay at the ends.
+    assert not any(key[k : k + 24] in clean[min(n, 2)] for n, key in enumerate(keys) for k in range(len(key) - 23))
+    assert clean[3] == "x [SECRET]-some-long-list-of-plain-words y"
+
+
 def grams(ws):
     return collections.Counter(tuple(ws[i : i + 5]) for i in range(max(len(ws) - 4, min(1, len(ws)))))
 

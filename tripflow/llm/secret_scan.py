@@ -130,8 +130,25 @@ def mixed_part(run: str, at: str) -> str:
             'start', {at} + a.start, 'kind', {KINDS.index("entropy")}, 'end', {at} + a.end) END)"""
 
 
-def entropy_spans(text: str, candidates: str, base: str) -> Column:
-    """Mixed parts of the candidate runs that are not allowed and meet no span of ``base``."""
+def outside(candidates: str, base: str) -> str:
+    """What the spans of ``base``, in order, leave of the candidate runs: pieces of a window or more."""
+    return f"""filter(flatten(transform({candidates}, r -> aggregate(
+        filter({base}, b -> b.start < r.end AND r.start < b.end),
+        named_struct('at', r.start, 'pieces', cast(array() AS {SPANS})),
+        (a, b) -> named_struct('at', greatest(a.at, b.end), 'pieces', array_append(a.pieces,
+          named_struct('start', a.at, 'kind', r.kind, 'end', b.start))),
+        a -> array_append(a.pieces, named_struct('start', a.at, 'kind', r.kind, 'end', r.end))))),
+        p -> p.end - p.start >= {WINDOW})"""
+
+
+def entropy_spans(text: str, candidates: str, base: str, pieces: bool) -> Column:
+    """Mixed parts of the candidate runs that are not allowed and meet no span of ``base``.
+
+    With ``pieces`` the spans of ``base`` are cut out of a run first, and each piece is a run
+    of its own; else a part that meets such a span is dropped whole.
+    """
+    if pieces:
+        candidates = outside(candidates, base)
     allowed = " OR ".join(f"r.m RLIKE {quoted(p)}" for p in ALLOWED)
     runs = f"""filter(transform({candidates}, r -> named_struct('at', r.start,
         'm', substring({text}, r.start + 1, r.end - r.start))), r -> NOT ({allowed}))"""
@@ -140,8 +157,11 @@ def entropy_spans(text: str, candidates: str, base: str) -> Column:
           e -> e IS NOT NULL AND NOT exists({base}, b -> b.start < e.end AND e.start < b.end))""")
 
 
-def with_spans(docs: DataFrame, base: str, spans: str) -> DataFrame:
-    """``docs`` with arrays of spans (start, kind, end) in order: the patterns' and all."""
+def with_spans(docs: DataFrame, base: str, spans: str, pieces: bool = False) -> DataFrame:
+    """``docs`` with arrays of spans (start, kind, end) in order: the patterns' and all.
+
+    ``pieces``: see ``entropy_spans``.
+    """
     names = {n: free_name(docs, f"_{n}") for n in ("text", "assign", "access", "hex", "runs", "found")}
     text, assign, access, hexes, runs, found = names.values()
     least = f"length(regexp_extract(x.m, {quoted(ASSIGN)}, 2)) >= {LEAST_ASSIGN}"
@@ -156,7 +176,7 @@ def with_spans(docs: DataFrame, base: str, spans: str) -> DataFrame:
         }
     )
     rows = rows.withColumn(base, F.sort_array(F.concat(assign, access, hexes)))
-    rows = rows.withColumn(found, entropy_spans(text, runs, base))
+    rows = rows.withColumn(found, entropy_spans(text, runs, base, pieces))
     rows = rows.withColumn(spans, F.sort_array(F.concat(base, found)))
     return rows.drop(*names.values())
 
@@ -174,7 +194,8 @@ def scan(docs: DataFrame) -> DataFrame:
 
     ``docs`` needs doc_id and text. A null or empty text has no spans: counts of 0, an
     empty ``spans`` and the SHA-256 of nothing. Spans of different patterns may overlap;
-    a span of kind ``entropy`` overlaps none. Repeated rows give repeated results.
+    a span of kind ``entropy`` overlaps none. As in the SQL, a mixed part that overlaps
+    another span is not reported; ``redacted`` replaces what is left of it. Repeated rows give repeated results.
     """
     rows = with_spans(docs.select("doc_id", "text"), "base", "spans")
 
@@ -195,11 +216,12 @@ def scan(docs: DataFrame) -> DataFrame:
 def redacted(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every span of every text replaced by ``mark``, all columns as they were.
 
-    Spans that overlap get one mark. Where a text changes, ``n_chars`` (if there is such a
+    Spans that overlap get one mark. What the patterns leave of a run is looked at too:
+    a secret joined to a named one by "/" or "-" goes as well. Where a text changes, ``n_chars`` (if there is such a
     column) becomes its new length; null and clean texts stay as they are.
     """
     base, spans = free_name(docs, "_base"), free_name(docs, "_spans")
-    rows = with_spans(docs, base, spans)
+    rows = with_spans(docs, base, spans, pieces=True)
     clean = F.expr(f"""
         aggregate({spans}, named_struct('at', 0, 'out', ''),
           (a, s) -> named_struct('at', greatest(a.at, s.end), 'out', CASE WHEN s.start < a.at THEN a.out
