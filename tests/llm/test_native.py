@@ -94,6 +94,14 @@ def test_secrets_joined_to_others_are_redacted(spark):
     assert clean[3] == "x [SECRET]-some-long-list-of-plain-words y"
 
 
+def test_upper_case_hex_keys_are_redacted(spark):
+    random.seed(7)
+    keys = ["".join(random.choice("0123456789ABCDEF") for _ in range(n)) for n in [40, 64] * 20]
+    docs = spark.createDataFrame(list(enumerate(f"x {key} y" for key in keys)), "doc_id long, text string")
+    left = [r.text for r in secret_scan.redacted(docs).collect()]
+    assert not any(key[k : k + 24] in text for text in left for key in keys for k in range(len(key) - 23))
+
+
 def grams(ws):
     return collections.Counter(tuple(ws[i : i + 5]) for i in range(max(len(ws) - 4, min(1, len(ws)))))
 

@@ -31,9 +31,9 @@ ASSIGN = (
 LEAST_ASSIGN, LEAST_ACCESS, LEAST_HEX = 8, 16, 32
 
 #: Characters of a candidate run: ten digits, six more hexadecimal ones, other
-#: lower-case and upper-case letters, signs.
+#: lower-case letters, six upper-case hexadecimal and other upper-case letters, signs.
 ALPHABET = "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/_=-"
-DIGITS, HEX_END, LOWER_END, LETTERS_END = 10, 16, 36, 62
+DIGITS, HEX_END, LOWER_END, UPPER_HEX_END, LETTERS_END = 10, 16, 36, 42, 62
 #: Characters in a window; shorter runs are no candidates.
 WINDOW = 24
 CANDIDATE = rf"[A-Za-z0-9+/_=-]{{{WINDOW},}}"
@@ -89,14 +89,17 @@ def matches(text: str, pattern: str, kind: int, keep: str = "true") -> Column:
 
 
 def class_of(code: str) -> str:
-    """Place of a character among the class counts: digit, a-f, g-z, A-Z, sign."""
+    """Place of a character among the class counts: digit, a-f, g-z, A-F, G-Z, sign."""
     return f"""(CASE WHEN {code} < {DIGITS} THEN 0 WHEN {code} < {HEX_END} THEN 1
-        WHEN {code} < {LOWER_END} THEN 2 WHEN {code} < {LETTERS_END} THEN 3 ELSE 4 END)"""
+        WHEN {code} < {LOWER_END} THEN 2 WHEN {code} < {UPPER_HEX_END} THEN 3
+        WHEN {code} < {LETTERS_END} THEN 4 ELSE 5 END)"""
 
 
-def mixed_part(run: str, at: str) -> str:
+def mixed_part(run: str, at: str, upper: bool) -> str:
     """Span from the first to the last window of ``run`` that is mixed enough, or null.
 
+    ``upper``: windows of digits and A-F are hexadecimal too.
+
     A fold over the characters: ``c`` comes into the window, ``o`` goes out (-1: none
     yet). The state holds the counts ``n`` of the window's characters, the counts ``k``
     of its classes and the sum ``s`` of n log2 n; ``b`` is the state of the window,
@@ -110,11 +113,12 @@ def mixed_part(run: str, at: str) -> str:
           named_struct('i', i, 'c', c, 'o', coalesce(get(s, i - {WINDOW}), -1))))"""
     up = f"get({terms}, a.n[x.c] + 1) - get({terms}, a.n[x.c])"
     down = f"get({terms}, a.n[x.o] - 1) - get({terms}, a.n[x.o])"
-    enough = f"""x.i >= {WINDOW - 1} AND b.k[0] > 0 AND b.k[1] + b.k[2] + b.k[3] > 0 AND b.s <=
-        CASE WHEN b.k[0] + b.k[1] = {WINDOW} THEN {MOST_TERMS["hex"]} ELSE {MOST_TERMS["mixed"]} END"""
+    is_hex = f"b.k[0] + b.k[1] = {WINDOW}" + (f" OR b.k[0] + b.k[3] = {WINDOW}" if upper else "")
+    enough = f"""x.i >= {WINDOW - 1} AND b.k[0] > 0 AND b.k[1] + b.k[2] + b.k[3] + b.k[4] > 0 AND b.s <=
+        CASE WHEN {is_hex} THEN {MOST_TERMS["hex"]} ELSE {MOST_TERMS["mixed"]} END"""
     return f"""
         aggregate({moves},
-          named_struct('n', array_repeat(0, {len(ALPHABET)}), 'k', array_repeat(0, 5), 's', 0L,
+          named_struct('n', array_repeat(0, {len(ALPHABET)}), 'k', array_repeat(0, 6), 's', 0L,
             'start', -1, 'end', -1),
           (a, x) -> aggregate(
             array(named_struct(
@@ -141,26 +145,27 @@ def outside(candidates: str, base: str) -> str:
         p -> p.end - p.start >= {WINDOW})"""
 
 
-def entropy_spans(text: str, candidates: str, base: str, pieces: bool) -> Column:
+def entropy_spans(text: str, candidates: str, base: str, more: bool) -> Column:
     """Mixed parts of the candidate runs that are not allowed and meet no span of ``base``.
 
-    With ``pieces`` the spans of ``base`` are cut out of a run first, and each piece is a run
-    of its own; else a part that meets such a span is dropped whole.
+    With ``more`` the spans of ``base`` are cut out of a run first, and each piece is a run
+    of its own; else a part that meets such a span is dropped whole. Hexadecimal keys in
+    upper case are looked for with ``more`` only.
     """
-    if pieces:
+    if more:
         candidates = outside(candidates, base)
     allowed = " OR ".join(f"r.m RLIKE {quoted(p)}" for p in ALLOWED)
     runs = f"""filter(transform({candidates}, r -> named_struct('at', r.start,
         'm', substring({text}, r.start + 1, r.end - r.start))), r -> NOT ({allowed}))"""
     return F.expr(f"""
-        filter(transform({runs}, r -> {mixed_part("r.m", "r.at")}),
+        filter(transform({runs}, r -> {mixed_part("r.m", "r.at", more)}),
           e -> e IS NOT NULL AND NOT exists({base}, b -> b.start < e.end AND e.start < b.end))""")
 
 
-def with_spans(docs: DataFrame, base: str, spans: str, pieces: bool = False) -> DataFrame:
+def with_spans(docs: DataFrame, base: str, spans: str, more: bool = False) -> DataFrame:
     """``docs`` with arrays of spans (start, kind, end) in order: the patterns' and all.
 
-    ``pieces``: see ``entropy_spans``.
+    ``more``: see ``entropy_spans``.
     """
     names = {n: free_name(docs, f"_{n}") for n in ("text", "assign", "access", "hex", "runs", "found")}
     text, assign, access, hexes, runs, found = names.values()
@@ -176,7 +181,7 @@ def with_spans(docs: DataFrame, base: str, spans: str, pieces: bool = False) ->
         }
     )
     rows = rows.withColumn(base, F.sort_array(F.concat(assign, access, hexes)))
-    rows = rows.withColumn(found, entropy_spans(text, runs, base, pieces))
+    rows = rows.withColumn(found, entropy_spans(text, runs, base, more))
     rows = rows.withColumn(spans, F.sort_array(F.concat(base, found)))
     return rows.drop(*names.values())
 
@@ -195,7 +200,8 @@ def scan(docs: DataFrame) -> DataFrame:
     ``docs`` needs doc_id and text. A null or empty text has no spans: counts of 0, an
     empty ``spans`` and the SHA-256 of nothing. Spans of different patterns may overlap;
     a span of kind ``entropy`` overlaps none. As in the SQL, a mixed part that overlaps
-    another span is not reported; ``redacted`` replaces what is left of it. Repeated rows give repeated results.
+    another span is not reported, and an upper-case hexadecimal key has to reach the bits of
+    mixed ones; ``redacted`` replaces both. Repeated rows give repeated results.
     """
     rows = with_spans(docs.select("doc_id", "text"), "base", "spans")
 
@@ -221,7 +227,7 @@ def redacted(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     column) becomes its new length; null and clean texts stay as they are.
     """
     base, spans = free_name(docs, "_base"), free_name(docs, "_spans")
-    rows = with_spans(docs, base, spans, pieces=True)
+    rows = with_spans(docs, base, spans, more=True)
     clean = F.expr(f"""
         aggregate({spans}, named_struct('at', 0, 'out', ''),
           (a, s) -> named_struct('at', greatest(a.at, s.end), 'out', CASE WHEN s.start < a.at THEN a.out
