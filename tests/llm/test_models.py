@@ -60,6 +60,16 @@ def test_toxicity(spark, edges, few_labels, no_docs):
     assert toxicity.score_toxicity(no_docs, few_labels).count() == 0
 
 
+def test_frequent_toxic_words_stay_markers():
+    """1000 contexts in toxic texts beside 30 plain places: 0.971 are toxic."""
+    texts = [(f"a{k} b{k} nasty c{k} d{k}", 1) for k in range(1000)]
+    texts += [(f"e{k} nasty f{k}", 0) for k in range(30)]
+    texts += [(" ".join(f"g{k}x{j}" for j in range(20)), 0) for k in range(500)]
+    assert "nasty" in toxicity.markers(texts, 0.95)
+    texts += [(f"h{k} nasty i{k}", 0) for k in range(30)]
+    assert "nasty" not in toxicity.markers(texts, 0.95)
+
+
 def test_quality_model(spark, edges, few_labels, no_docs):
     docs, labels = (spark.read.parquet(f"{TESTDATA}/{t}.parquet") for t in ("documents", "labels"))
     rows = quality_model.score_quality(docs, labels).join(labels, "doc_id").collect()
