@@ -123,6 +123,30 @@ def test_pages(spark):
     assert page_text.extract_text(pages.limit(0)).count() == 0
 
 
+def test_open_heads_and_skipped_elements_end():
+    def texts(page):
+        return [b.text for b in page_text.leaf_blocks(page)]
+
+    body = "<article><h1>Top</h1><p>One.</p></article>"
+    for head in ("<head><title>t</title>", "<head><title>t", "<head><meta charset=x><script>a < b</script><title>t</title></head>"):
+        assert texts(f"<html>{head}<body>{body}</html>") == ["Top", "One."]
+        assert texts(f"<html>{head}{body}</html>") == ["Top", "One."]
+    for tag in ("textarea", "svg", "math", "noscript", "template", "object", "script", "style", "iframe"):
+        for page in (
+            f"<body><div><{tag}>no <b>text</b></div>{body}</body>",
+            f"<body><{tag}>no text{body}</body>",
+            f"<ul><li>a<li><{tag}>no</li><li>b</ul>{body}",
+            f"<div>a<{tag}>no<i>no</i></{tag}>b</div>{body}",
+        ):
+            assert texts(page)[-2:] == ["Top", "One."] and "no" not in " ".join(texts(page)), page
+    # An end tag further on belongs to the second drawing, and inner ones to their own.
+    assert texts(f"<div><svg>no</div>{body}<p><svg>no</svg>b</p>") == ["Top", "One.", "b"]
+    assert texts(f"<p><svg>no<svg>no</svg>no</svg>b</p>{body}") == ["b", "Top", "One."]
+    assert texts("<p><svg width=1 />b</p>") == ["b"]
+    assert texts("<script>f('<script><p>no</p>')</script><p>a") == ["a"]
+    page_text.leaf_blocks("<svg>" * 50_000 + "<head>" * 50_000 + "<textarea>" * 50_000)
+
+
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")

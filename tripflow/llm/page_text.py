@@ -37,7 +37,13 @@ VOID_TAGS = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
 #: Elements whose content is no text of the page.
-SKIPPED_TAGS = ("script", "style", "noscript", "template", "textarea", "svg", "math", "head", "iframe", "object")
+SKIPPED_TAGS = ("script", "style", "noscript", "template", "textarea", "svg", "math", "iframe", "object")
+#: Those of them that can hold one of their own kind.
+NESTED_TAGS = frozenset("template svg math object".split())
+#: Those that can hold blocks; start tags of other blocks end an open one of the rest.
+HOLDS_BLOCKS = frozenset("noscript template object iframe".split())
+#: Start tags that do not end a head.
+HEAD_TAGS = frozenset("base basefont bgsound head html link meta noframes title".split()) | frozenset(SKIPPED_TAGS)
 #: Start tags that end an open paragraph.
 ENDS_P = BLOCK_TAGS - {"br", "body", "html", "head", "title", "option", "optgroup", "caption", "iframe", "object", "canvas", "video", "audio"}
 #: Elements that end an open one of their kind: list items, cells, rows.
@@ -56,10 +62,12 @@ ASIDE_WORDS = frozenset(
 MAIN_WORDS = frozenset("article body content entry main post story text".split())
 
 TAG = re.compile(
-    r"<!--.*?(?:-->|$)|<(?P<skip>" + "|".join(SKIPPED_TAGS) + r")\b[^>]*>.*?(?:</(?P=skip)\s*>|$)"
+    r"<!--.*?(?:-->|$)|<(?P<skip>" + "|".join(SKIPPED_TAGS) + r")\b[^>]*>"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^'\"<>]++)*+)>|<[!?/][^>]*(?:>|$)",
     re.S | re.I,
 )
+#: Start and end tags of each skipped element.
+BOUNDS = {t: re.compile(rf"<{t}\b[^>]*>|(?P<end></{t}\s*>)", re.I) for t in SKIPPED_TAGS}
 NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 WORDS = re.compile(r"[a-z]+")
 SPACES = re.compile(r"\s+")
@@ -82,12 +90,31 @@ class Block:
         self.text, self.tags, self.links = text, tags, links
 
 
+def closed(page: str, tag: str) -> dict[int, int]:
+    """Where each skipped element ends that has an end tag, by the end of its start tag."""
+    ends: dict[int, int] = {}
+    opened: list[int] = []
+    for m in BOUNDS[tag].finditer(page):
+        if m[0].endswith("/>") and tag in ("svg", "math"):
+            ends[m.end()] = m.end()
+        elif not m["end"]:
+            # What stands in a text-only element is no tag.
+            if tag in NESTED_TAGS or not opened:
+                opened.append(m.end())
+        elif opened:
+            ends[opened.pop()] = m.end()
+    return ends
+
+
 def leaf_blocks(page: str) -> list[Block]:
     """The page's blocks of text in order, each with the (tag, names) it stands in."""
     blocks: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
     parts: list[str] = []
     linked, at = 0, 0
+    ends: dict[str, dict[int, int]] = {}
+    # An open head, or a skipped element without an end tag: its place in the stack, and its tag.
+    hidden: tuple[int, str] | None = None
 
     def flush() -> None:
         nonlocal linked
@@ -108,17 +135,37 @@ def leaf_blocks(page: str) -> list[Block]:
 
     def add(text: str) -> None:
         nonlocal linked
+        if hidden:
+            return
         parts.append(text)
         if any(tag == "a" for tag, _ in stack):
             linked += len(text)
 
-    for m in TAG.finditer(page):
+    def skip(tag: str) -> None:
+        nonlocal hidden
+        hidden = hidden or (len(stack), tag)
+        # No name that other tags look for.
+        stack.append(("head" if tag == "head" else "skipped", ()))
+
+    while m := TAG.search(page, at):
         if m.start() > at:
             add(page[at : m.start()])
         at = m.end()
-        if m["skip"] or not m["name"]:
+        if m["skip"]:
+            tag = m["skip"].lower()
+            if tag not in ends:
+                ends[tag] = closed(page, tag)
+            if at in ends[tag]:
+                at = ends[tag][at]
+            elif not hidden:
+                skip(tag)
+            continue
+        if not m["name"]:
             continue
         name = m["name"].lower()
+        if hidden and not m["end"] and ends_hidden(hidden[1], name):
+            del stack[hidden[0] :]
+            hidden = None
         if name in BLOCK_TAGS:
             flush()
         if m["end"]:
@@ -128,14 +175,27 @@ def leaf_blocks(page: str) -> list[Block]:
                 close(("p",), until=frozenset(BLOCK_TAGS - {"p"}))
             if name in ENDS_ITSELF:
                 close(ENDS_ITSELF[name], until=frozenset({"ul", "ol", "dl", "table", "select"}))
-            if name not in VOID_TAGS:
+            if name == "head":
+                skip(name)
+            elif name not in VOID_TAGS:
                 stack.append((name, names_in(m["rest"])))
+        if hidden and len(stack) <= hidden[0]:
+            hidden = None
     if at < len(page):
         add(page[at:])
     flush()
     return blocks
 
 
+def ends_hidden(tag: str, name: str) -> bool:
+    """Whether the start tag ``name`` ends an open head or a skipped element ``tag`` without an end tag."""
+    if tag == "head":
+        return name not in HEAD_TAGS
+    if tag in HOLDS_BLOCKS:
+        return name in MAIN_TAGS or name == "body"
+    return name in BLOCK_TAGS and name != "title"
+
+
 def declared(block: Block) -> int | None:
     """1 for main text, 0 for others, None if the markup does not say; the innermost word counts.
 
@@ -216,7 +276,9 @@ def extract_text(pages: DataFrame, most: int = 400, blocks_per_page: int = 64) -
     character references decoded and white space turned into single spaces. A null or
     empty page, or one without main text, gives an empty text. If no page of the sample
     declares anything, blocks are kept unless their markup speaks against them.
-    Broken markup is read as far as it goes; repeated rows give equal results.
+    Broken markup is read as far as it goes: a head without an end tag ends where a start tag
+    does not belong to it, an element that is no text (a script, a drawing) at the end of the
+    block around it, or where a block starts that it cannot hold. Repeated rows give equal results.
     """
     extractor = Extractor(sample_pages(pages, most), blocks_per_page)
 
