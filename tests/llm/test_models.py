@@ -70,6 +70,11 @@ def test_frequent_toxic_words_stay_markers():
     assert "nasty" not in toxicity.markers(texts, 0.95)
 
 
+def test_longest_word_is_that_of_the_whole_text():
+    near, far = (quality_model.text_view(" ".join(ws)) for ws in (["z" * 900] + ["ab"] * 6000, ["ab"] * 6000 + ["z" * 900]))
+    assert near[15] == far[15] == 900 / 50
+
+
 def test_quality_model(spark, edges, few_labels, no_docs):
     docs, labels = (spark.read.parquet(f"{TESTDATA}/{t}.parquet") for t in ("documents", "labels"))
     rows = quality_model.score_quality(docs, labels).join(labels, "doc_id").collect()

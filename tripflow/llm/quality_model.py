@@ -45,7 +45,7 @@ def text_view(text: str) -> np.ndarray:
             counts[128:].sum() / size, share(b"[]{}()_=+/\\@~^"),
             len(set(words)) / n, len(set(words[::2])) / max(1, len(words[::2])),
             len(set(zip(words, words[1:]))) / max(1, n - 1),
-            len(set(lines)) / len(lines), min(20, len(text) / n) / 10, max(map(len, words[:5000])) / 50,
+            len(set(lines)) / len(lines), min(20, len(text) / n) / 10, max(map(len, words)) / 50,
             sum(a == b for a, b in zip(words, words[1:])) / n,
             1.0 if n < 50 else 0.0, math.log1p(n) / 10, sum(w[-1] in ".!?" for w in words) / n,
         ]
