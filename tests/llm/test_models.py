@@ -97,6 +97,17 @@ def test_language(spark, edges, no_docs):
     assert {(r.lang_pred, r.score) for r in nothing} == {("und", 0.0)}
 
 
+def test_dictionaries_are_no_prefixes():
+    texts = [f"banner {chr(97 + k % 26) * 3} " * 40 + "inner words " * 400 for k in range(50)] + ["short one"] * 50
+    made = lang_id.dictionary(texts, 20_000)
+    # Short texts are whole, their share goes to the others, and these are not read from their start only.
+    assert made.count(b"short one") == 50 and 19_900 <= len(made) <= 20_000
+    assert made.count(b"inner words") > 3 * made.count(b"banner")
+    assert lang_id.dictionary(["ab cd", "ef"], 100) == b"ab cd ef"
+    # More than all shares: everything is whole.
+    assert lang_id.dictionary(["ab", "abcdef"], 9) == b"ab abcdef"
+
+
 def by_tags(page):
     """What the pages of the test tables hold between their article tags."""
     inner = re.search(r"<article>(.*)</article>", page, re.S)[1]

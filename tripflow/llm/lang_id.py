@@ -1,8 +1,8 @@
 """Language by compression (operator 10).
 
 A text is written in the language whose sample helps most to compress it. Each
-language has a zstandard raw-content dictionary, made of whole labelled
-documents; the pieces of a text are compressed with each dictionary, and the
+language has a zstandard raw-content dictionary, made of labelled documents, whole
+or by stretches from anywhere in them; the pieces of a text are compressed with each dictionary, and the
 smallest sum wins. Where the second is nearly as small, the row is marked as not
 accepted and its score is low.
 """
@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -63,9 +64,28 @@ def sample(docs: DataFrame, per_lang: int) -> dict[str, list[str]]:
 
 
 def dictionary(texts: list[str], size: int) -> bytes:
-    """The texts behind each other, each with an equal share of ``size`` bytes at most."""
-    share = max(1, size // len(texts))
-    return b" ".join(letters(text)[:share] for text in texts)[:size]
+    """The texts behind each other, ``size`` bytes at most.
+
+    If they are more, each has an equal share, and what shorter texts leave of theirs goes to
+    the others. Of a longer text the share is a stretch at a place by its hash, so that what
+    documents open with fills no dictionary.
+    """
+    data = [letters(text) for text in texts]
+    left, share = max(0, size - len(data) + 1), 0
+    for n, length in enumerate(sorted(map(len, data))):
+        share = left // (len(data) - n)
+        if length > share:
+            break
+        left -= length
+    return b" ".join(stretch(x, max(1, share)) for x in data)[:size]
+
+
+def stretch(data: bytes, share: int) -> bytes:
+    """``share`` bytes at a place by the hash of ``data``; all of it if it is not longer."""
+    if len(data) <= share:
+        return data
+    at = zlib.crc32(data) % (len(data) - share + 1)
+    return data[at : at + share]
 
 
 def letters(text: str) -> bytes:
@@ -141,8 +161,8 @@ def identify(
     """(doc_id, held_out, lang_pred, score, accepted, margin) for each row of ``docs``.
 
     Learns from text and lang of rows whose crc32(doc_id) mod 4 is not 2: a sample of
-    ``per_lang`` documents per language, ``dictionary_bytes`` of them at most. The
-    result uses the text alone. ``und`` and score 0 for a null text, one without a
+    ``per_lang`` documents per language, ``dictionary_bytes`` of them at most (see
+    ``dictionary``). The result uses the text alone. ``und`` and score 0 for a null text, one without a
     letter, or if nothing was learned. Equal sizes go to the language with more
     labelled rows, with a score of at most one half. ``accepted`` is false where the margin between
     the two smallest sizes is below ``narrow``. Repeated rows get equal results.
