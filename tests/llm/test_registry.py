@@ -10,7 +10,7 @@ from tripflow.llm.registry import ORACLE, QUERIES
 
 def test_one_query_per_operator():
     numbers = sorted(int(name.split("_")[0][2:]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(queries())
     assert set(ORACLE) <= set(oracle_sql())
 
@@ -19,7 +19,7 @@ def test_one_query_per_operator():
 def test_query_equals_sql(name, spark):
     result = queries()[name](spark, TESTDATA)
     sql = duckdb.connect()
-    for table in ("documents", "labels", "benchmark", "pages"):
+    for table in ("documents", "labels", "benchmark", "pages", "conversations"):
         sql.execute(f"CREATE VIEW {table} AS SELECT * FROM '{TESTDATA}/{table}.parquet'")
     expected = sql.sql(oracle_sql()[name])
     columns = sorted(result.columns)

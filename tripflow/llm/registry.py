@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from tripflow.llm import decontaminate, lang_id, mix_sources, near_copies, page_text, personal_data, quality_model, quality_rules, secret_scan, toxicity
+from tripflow.llm import (
+    conversation_trie,
+    decontaminate,
+    lang_id,
+    merkle,
+    mix_sources,
+    near_copies,
+    page_text,
+    personal_data,
+    quality_model,
+    quality_rules,
+    secret_scan,
+    sketch,
+    toxicity,
+)
 
 QUERIES = {
     "op1_secret_scan": secret_scan.query,
@@ -15,6 +29,9 @@ QUERIES = {
     "op8_personal_data": personal_data.query,
     "op9_jaccard_join": near_copies.query,
     "op10_language_id": lang_id.query,
+    "op11_conversation_trie": conversation_trie.query,
+    "op12_fingerprints": sketch.query,
+    "op13_merkle_manifest": merkle.query,
 }
 
 ORACLE = {
@@ -22,4 +39,7 @@ ORACLE = {
     "op5_mix_sources": mix_sources.SQL,
     "op6_quality_rules": quality_rules.SQL,
     "op9_jaccard_join": near_copies.SQL,
+    "op11_conversation_trie": conversation_trie.SQL,
+    "op12_fingerprints": sketch.SQL,
+    "op13_merkle_manifest": merkle.SQL,
 }
