@@ -7,13 +7,23 @@ from conftest import NOON, TESTDATA, trip
 from pyspark.sql import functions as F
 
 from tripflow.catalog.queries import QUERIES
-from tripflow.plans.stream import analyse, run_metrics, run_stream, stream_paths, stream_summary
-from tripflow.sources.derived import read_trips
-from tripflow.sources.tables import read_table
+from tripflow.plans.stream import (
+    analyse,
+    late_paths,
+    run_metrics,
+    run_one_scan,
+    run_stream,
+    store_late_rows,
+    stream_paths,
+    stream_summary,
+)
+from tripflow.sources.derived import TripSlices, read_trips
+from tripflow.sources.tables import find_table, read_table
 from tripflow.sources.trips import stream_trips
 from tripflow.streaming import reports
+from tripflow.streaming.cells import read_published
 from tripflow.streaming.metrics import LOCATION, PAYMENT, STREAM_TABLES, TIME, clean_stream, flat_windows
-from tripflow.streaming.run import start_streams, stream_session, wait_for
+from tripflow.streaming.run import RunTotals, counted, start_streams, stream_session, wait_for
 
 
 class Inbox:
@@ -274,3 +284,141 @@ def test_top_zones_ties(spark):
         "PULocationID int, pickup_count bigint, zone_revenue double",
     )
     assert [r.PULocationID for r in reports.top_zones(rows, 3).collect()] == [2, 1, 3]
+
+
+def test_every_batch_is_counted_once_from_news_or_memory(spark, trips, inbox):
+    """News alone, memory alone and both give the same; a batch known to neither is an error."""
+    for minute in range(5):
+        inbox.put(trips(at(minute)))
+    session = stream_session(spark, 2)
+    tables = {"time_metrics": TIME.build(clean_stream(stream_trips(session, inbox.folder)))}
+    with counted(session) as news:
+        queries = start_streams(tables, f"{inbox.root}/out", f"{inbox.root}/state")
+        wait_for(queries, totals=news)
+    memory = RunTotals()
+    memory.take(queries)
+    assert memory.batches() == news.batches()
+    assert [b.input_rows for b in news.batches()][:5] == [1] * 5
+    del memory._batches[next(key for key in memory._batches if key[1] == 2)]
+    queries = {"time_metrics": queries["time_metrics"]}
+    memory.take = lambda queries: None
+    with pytest.raises(RuntimeError, match="never reported.*2"):
+        memory.settle(queries, 0.1)
+
+
+def test_many_short_batches_are_all_counted(spark, trips, inbox):
+    for minute in range(12):
+        inbox.put(trips(at(minute)))
+    session = stream_session(spark, 1)
+    session.conf.set("spark.sql.streaming.numRecentProgressUpdates", "1")
+    rows = stream_trips(session, inbox.folder).select("total_amount")
+    with counted(session) as totals:
+        queries = start_streams({"copy": rows}, f"{inbox.root}/out", f"{inbox.root}/state")
+        wait_for(queries, poll_seconds=5, totals=totals)
+    assert totals.frame(spark).first()[:3] == ("copy", 12, 12)
+
+
+def test_late_rows_are_those_not_counted(spark, trips, inbox):
+    inbox.put(trips(at(0), at(1)))
+    inbox.put(trips(at(60), at(3)))
+    inbox.put(trips(at(61)))
+    # Behind noon + 50, which counts from here on; the trip at 46 finds its window still open.
+    inbox.put(trips(at(2, PULocationID=7), at(2, PULocationID=7), at(44), at(46), at(62)))
+    inbox.put(trips(at(50), at(3, fare_amount=-1.0), at(90)))
+    result = run(spark, inbox, keep_late=True)
+    late = {t.name: find_table(spark, late_paths(f"{inbox.root}/out")[t.name]) for t in STREAM_TABLES}
+    minutes = lambda rows: sorted((r.batch, r.tpep_pickup_datetime.minute) for r in rows.collect())
+    assert minutes(late["location_metrics"]) == [(3, 2), (3, 2), (3, 44)]
+    assert late["time_metrics"].where("minute(tpep_pickup_datetime) = 2").count() == 4
+    for table in STREAM_TABLES:
+        # Spark counts a batch's groups; one file is one task, so those are windows and keys.
+        groups = late[table.name].select("batch", "window", *table.keys).distinct().count()
+        assert totals(result.progress, "late_groups_dropped")[table.name] == groups
+    # Written again, a batch replaces its own rows.
+    store_late_rows(spark, result.batches, f"{inbox.root}/out", f"{inbox.root}/state")
+    again = find_table(spark, late_paths(f"{inbox.root}/out")["location_metrics"])
+    assert minutes(again) == [(3, 2), (3, 2), (3, 44)]
+
+
+def test_late_rows_of_a_resumed_run(spark, trips, inbox):
+    """The first batch of a run is judged by the watermark that the run before left."""
+    for minute in (0, 60, 61):
+        inbox.put(trips(at(minute)))
+    first = run(spark, inbox, keep_late=True)
+    paths = late_paths(f"{inbox.root}/out")
+    assert all(find_table(spark, path) is None for path in paths.values())
+    inbox.put(trips(at(5), at(62)))
+    run(spark, inbox, keep_late=True)
+    late = find_table(spark, paths["payment_metrics"]).collect()
+    last = max(b.batch for b in first.batches if b.query == "payment_metrics")
+    assert [(r.batch, r.tpep_pickup_datetime.minute) for r in late] == [(last + 1, 5)]
+
+
+def test_counted_open_and_late_trips_are_all_trips(spark, tmp_path):
+    """Nothing is lost: windows, what still waits in them, and the late rows make the whole."""
+    slices = TripSlices(spark, TESTDATA, late_every=7)
+    slices.arrive(f"{tmp_path}/inbox", range(slices.count))
+    run_stream(spark, f"{tmp_path}/inbox", f"{tmp_path}/out", f"{tmp_path}/state", state_partitions=4, keep_late=True)
+    clean = clean_stream(read_trips(spark, TESTDATA))
+    reached = clean.agg(F.max("tpep_pickup_datetime")).first()[0] - dt.timedelta(minutes=10)
+    waiting = clean.where(F.window("tpep_pickup_datetime", "15 minutes").end > F.lit(reached)).count()
+    windows = read_table(spark, stream_paths(f"{tmp_path}/out")["location_metrics"])
+    late = read_table(spark, late_paths(f"{tmp_path}/out")["location_metrics"])
+    assert late.count() > 0
+    assert windows.agg(F.sum("pickup_count")).first()[0] + late.count() + waiting == clean.count()
+
+
+def test_cut_runs_say_where_they_stopped_and_equal_one_run(spark, trips, inbox):
+    for minute in range(0, 70, 10):
+        inbox.put(trips(at(minute), at(minute + 4)))
+    whole = run_stream(spark, inbox.folder, f"{inbox.root}/whole", f"{inbox.root}/whole-state", state_partitions=2)
+    assert [r.batch_open for r in whole.stopped.collect()] == [False] * 3
+    seen = []
+    for _ in range(9):
+        result = run(spark, inbox, batches=2, cut=True)
+        seen.append(result)
+        for point in result.stopped.collect():
+            ours = [b.batch for b in result.batches if b.query == point.query]
+            assert not ours or point.committed_batch == max(ours)
+            assert point.batch_open == (point.planned_batch > point.committed_batch)
+        if all(result.finished.values()):
+            break
+    assert len(seen) > 2
+    numbers = sorted((b.query, b.batch) for part in seen for b in part.batches)
+    assert numbers == [(b.query, b.batch) for b in whole.batches]
+    for table in STREAM_TABLES:
+        rows = [
+            sorted(map(str, read_table(spark, f"{inbox.root}/{out}/streaming_output/{table.name}").collect()))
+            for out in ("out", "whole")
+        ]
+        assert rows[0] == rows[1] and rows[0]
+
+
+def test_time_that_is_up_lets_the_open_batch_end(spark, trips, inbox):
+    for minute in range(30):
+        inbox.put(trips(at(minute)))
+    result = run_stream(
+        spark, inbox.folder, f"{inbox.root}/out", f"{inbox.root}/state", 0.01, state_partitions=2, cut=True
+    )
+    assert not any(result.finished.values())
+    done = {r.query: r.committed_batch for r in result.stopped.collect()}
+    assert set(done) == {t.name for t in STREAM_TABLES} and min(done.values()) >= 0
+
+
+def test_one_scan_gives_the_three_tables(spark, trips, inbox):
+    output, checkpoint = f"{inbox.root}/cells", f"{inbox.root}/cells-state"
+    for part in (range(0, 40, 10), range(40, 90, 10)):
+        for minute in part:
+            inbox.put(trips(at(minute), at(minute + 3, PULocationID=minute, payment_type=2), at(minute + 7, payment_type=None)))
+        session = stream_session(spark, 2)
+        one = run_one_scan(session, stream_trips(session, inbox.folder), output, checkpoint)
+        assert {r.query: r.input_rows for r in one.totals.collect()} == {"trip_cells": 3 * len(part)}
+    # A publication that is done again changes nothing.
+    again = run_one_scan(session, stream_trips(session, inbox.folder), output, checkpoint)
+    run(spark, inbox)
+    for table in STREAM_TABLES:
+        ours = flat_windows(read_published(spark, again.paths[table.name]))
+        theirs = stored(spark, inbox, table)
+        doubles = {n: F.round(n, 6) for n, kind in theirs.dtypes if kind == "double"}
+        rows = [sorted(map(str, t.withColumns(doubles).select(theirs.columns).collect())) for t in (ours, theirs)]
+        assert rows[0] == rows[1] and rows[0]

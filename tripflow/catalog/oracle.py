@@ -409,4 +409,38 @@ UNION ALL SELECT 'payment_metrics', count(*) FROM payment_metrics""",
   CAST(0 AS bigint) AS late_groups_dropped
 FROM events, (VALUES ('time_metrics'), ('location_metrics'), ('payment_metrics')) AS q(name)
 GROUP BY name""",
+    "stream_late_data": f"""WITH {_STREAM},
+span AS (
+  SELECT min(epoch_us(tpep_pickup_datetime)) AS lo, max(epoch_us(tpep_pickup_datetime)) AS hi,
+    greatest(6, CAST(ceil(count(*) / 2000000) AS bigint)) AS n FROM trips),
+dealt AS (
+  SELECT t.*, least((epoch_us(tpep_pickup_datetime) - lo) * n // (hi - lo + 1)
+    + CASE WHEN trip_id % 7 = 0 THEN 3 ELSE 0 END, n - 1) AS batch
+  FROM tumbling t, span),
+tops AS (SELECT batch, max(tpep_pickup_datetime) AS top FROM dealt GROUP BY batch),
+marks AS (
+  SELECT b.batch, max(t.top) - INTERVAL 10 MINUTE AS dropped_until
+  FROM (SELECT DISTINCT batch FROM dealt) b JOIN tops t ON t.batch <= b.batch - 2 GROUP BY b.batch)
+SELECT trip_id, batch, PULocationID, total_amount, window_start,
+  window_start + INTERVAL 15 MINUTE AS window_end
+FROM dealt JOIN marks USING (batch) WHERE window_start + INTERVAL 15 MINUTE <= dropped_until""",
+    "stream_restart": f"WITH {_STREAM}\nSELECT *, 1::bigint AS copies FROM location_metrics",
+    "stream_cut_runs": f"WITH {_STREAM}\nSELECT * FROM payment_metrics",
+    "stream_one_scan_time": f"WITH {_STREAM}\n"
+    "SELECT * REPLACE (round(avg_speed, 6) AS avg_speed) FROM time_metrics",
+    "stream_one_scan_location": f"WITH {_STREAM}\nSELECT * FROM location_metrics",
+    "stream_one_scan_payment": f"WITH {_STREAM}\nSELECT * FROM payment_metrics",
+    "stream_job": f"""WITH {_STREAM}
+SELECT PULocationID, CAST(sum(pickup_count) AS bigint) AS total_pickups,
+  round({_sum("zone_revenue")}, 6) AS total_revenue
+FROM location_metrics GROUP BY PULocationID
+ORDER BY total_pickups DESC, PULocationID LIMIT 5""",
+    "raw_file_rows": "SELECT event_id, ts, user_id, event_type, value FROM events",
+    "declared_schema_rows": f"WITH {_TRIPS}\n"
+    "SELECT * REPLACE (NULL::double AS airport_fee) FROM trips",
+    "gold_input_report": _from_silver(
+        """SELECT severity, message, silver_rows FROM (SELECT count(*) AS silver_rows FROM silver),
+  (VALUES ('error', 'column VendorID is missing'),
+    ('warning', 'column quality_score will be derived')) AS issues(severity, message)"""
+    ),
 }

@@ -19,12 +19,28 @@ from tripflow.functions.totals import RollupTotals, TripTotals
 from tripflow.operators import bronze, gold, profile, quality, reports, silver
 from tripflow.plans.batch import build_bronze, build_gold, build_silver, gold_summary, run_layers
 from tripflow.plans.export import CSV_NAMES, export_gold
-from tripflow.plans.stream import run_metrics, stream_paths, stream_summary
+from tripflow.plans.stream import (
+    analyse,
+    late_paths,
+    run_metrics,
+    run_one_scan,
+    run_stream,
+    store_late_rows,
+    stream_paths,
+    stream_summary,
+)
 from tripflow.schema import CSV_FOLDER, DROPOFF, PICKUP, TRIP_SCHEMA, UNITS
-from tripflow.sources.derived import read_trips, read_trips_over_months, stream_trips_of_events
+from tripflow.sources.derived import (
+    NUMBERED_TRIPS,
+    TripSlices,
+    read_trips,
+    read_trips_over_months,
+    stream_trips_of_events,
+)
 from tripflow.sources.scratch import scratch_path
 from tripflow.sources.tables import read_table, write_table
-from tripflow.sources.trips import read_raw_trips
+from tripflow.sources.trips import read_raw_trips, read_trip_file, stream_trips
+from tripflow.streaming import cells as stream_cells
 from tripflow.streaming import metrics as stream_metrics
 from tripflow.streaming import reports as stream_reports
 from tripflow.streaming.run import stream_session
@@ -99,6 +115,21 @@ def bronze_schema_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _without_zone(merged.select(*trips.columns))
 
 
+def raw_file_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One raw file under its own schema."""
+    return read_trip_file(_utc(spark), f"{sf_dir}/events.parquet").select(
+        "event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "user_id", "event_type", "value"
+    )
+
+
+def declared_schema_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw files with a column too few and one too many, read as declared."""
+    folder = scratch_path(spark, "undeclared")
+    trips = _trips(spark, sf_dir)
+    write_table(trips.drop("airport_fee").withColumn("vendor_note", F.lit("x")), folder)
+    return _without_zone(spark.read.schema(NUMBERED_TRIPS).parquet(folder))
+
+
 # --- silver ------------------------------------------------------------------
 
 
@@ -389,6 +420,99 @@ def stream_summary_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_summary(spark, output)
 
 
+def gold_input_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the gold layer says about silver rows that lack a key and a feature."""
+    return gold.gold_input_report(_clean(spark, sf_dir).drop("VendorID", "quality_score"))
+
+
+def _sliced(spark: SparkSession, sf_dir: str, late_every: int | None = None) -> tuple[SparkSession, TripSlices, str]:
+    slices = TripSlices(_utc(spark), sf_dir, late_every=late_every)
+    return stream_session(spark), slices, scratch_path(spark, "inbox")
+
+
+def stream_late_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trips that a stream of tardy files dropped from the location windows, by batch."""
+    session, slices, inbox = _sliced(spark, sf_dir, late_every=7)
+    output, checkpoint = scratch_path(spark, "stream"), scratch_path(spark, "stream-state")
+    slices.arrive(inbox, range(slices.count))
+    tables = [stream_metrics.LOCATION]
+    trips = stream_trips(session, inbox, schema=NUMBERED_TRIPS)
+    result = run_metrics(session, trips, output, checkpoint, tables=tables, totals=EXACT)
+    store_late_rows(spark, result.batches, output, checkpoint, tables, NUMBERED_TRIPS)
+    late = read_table(spark, late_paths(output)[stream_metrics.LOCATION.name])
+    late = stream_metrics.flat_windows(late).withColumn("batch", F.col("batch").cast("long"))
+    return late.select("trip_id", "batch", "PULocationID", "total_amount", "window_start", "window_end")
+
+
+def _once(runs: Sequence[Sequence]) -> None:
+    """Raise if a batch of a query counted in two runs, or none did."""
+    for name in {b.query for run in runs for b in run}:
+        numbers = [b.batch for run in runs for b in run if b.query == name]
+        if sorted(numbers) != list(range(len(numbers))):
+            raise RuntimeError(f"{name}: batches {sorted(numbers)} were not committed once each")
+
+
+def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Location windows of a run that ended half-way and one that went on; copies of each window."""
+    session, slices, inbox = _sliced(spark, sf_dir)
+    output, checkpoint = scratch_path(spark, "stream"), scratch_path(spark, "stream-state")
+    tables, runs = [stream_metrics.LOCATION], []
+    for part in (range(slices.count // 2), range(slices.count // 2, slices.count)):
+        slices.arrive(inbox, part)
+        trips = stream_trips(session, inbox)
+        runs.append(run_metrics(session, trips, output, checkpoint, tables=tables, totals=EXACT).batches)
+    _once(runs)
+    stored = stream_metrics.flat_windows(read_table(spark, stream_paths(output)["location_metrics"]))
+    copies = stored.groupBy(stored.columns).agg(F.count(F.lit(1)).alias("copies"))
+    return copies
+
+
+def stream_cut_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payment windows of runs that were each cut off after two batches of every query."""
+    session, slices, inbox = _sliced(spark, sf_dir)
+    output, checkpoint = scratch_path(spark, "stream"), scratch_path(spark, "stream-state")
+    slices.arrive(inbox, range(slices.count))
+    runs, finished = [], False
+    while not finished:
+        trips = stream_trips(session, inbox)
+        result = run_metrics(session, trips, output, checkpoint, totals=EXACT, batches=2, cut=True)
+        runs.append(result.batches)
+        finished = all(result.finished.values())
+    _once(runs)
+    return stream_metrics.flat_windows(read_table(spark, stream_paths(output)["payment_metrics"]))
+
+
+def _one_scan(spark: SparkSession, sf_dir: str, table: stream_metrics.WindowedMetrics) -> DataFrame:
+    session, slices, inbox = _sliced(spark, sf_dir)
+    output, checkpoint = scratch_path(spark, "stream"), scratch_path(spark, "stream-state")
+    # Two runs: the second adds the windows that it closes to those published by the first.
+    for part in (range(slices.count // 2), range(slices.count // 2, slices.count)):
+        slices.arrive(inbox, part)
+        result = run_one_scan(session, stream_trips(session, inbox), output, checkpoint, totals=EXACT)
+    return stream_metrics.flat_windows(stream_cells.read_published(spark, result.paths[table.name]))
+
+
+def stream_one_scan_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(_one_scan(spark, sf_dir, stream_metrics.TIME), "avg_speed")
+
+
+def stream_one_scan_location(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _one_scan(spark, sf_dir, stream_metrics.LOCATION)
+
+
+def stream_one_scan_payment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _one_scan(spark, sf_dir, stream_metrics.PAYMENT)
+
+
+def stream_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole stream job over a folder of files, and the zones that its analysis puts on top."""
+    _, slices, inbox = _sliced(spark, sf_dir)
+    output = scratch_path(spark, "stream")
+    slices.arrive(inbox, range(slices.count))
+    run_stream(spark, inbox, output, scratch_path(spark, "stream-state"))
+    return rounded(analyse(spark, output)["top_zones"], "total_revenue")
+
+
 _GOLD_KEYS = {
     "hourly": gold.HOURLY,
     "location": gold.LOCATION,
@@ -444,4 +568,14 @@ QUERIES: dict[str, Query] = {
     "stream_payment_distribution": stream_payment_distribution,
     "stream_run_report": stream_run_report,
     "stream_summary": stream_summary_counts,
+    "stream_late_data": stream_late_data,
+    "stream_restart": stream_restart,
+    "stream_cut_runs": stream_cut_runs,
+    "stream_one_scan_time": stream_one_scan_time,
+    "stream_one_scan_location": stream_one_scan_location,
+    "stream_one_scan_payment": stream_one_scan_payment,
+    "stream_job": stream_job,
+    "raw_file_rows": raw_file_rows,
+    "declared_schema_rows": declared_schema_rows,
+    "gold_input_report": gold_input_report,
 }

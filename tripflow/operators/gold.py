@@ -196,6 +196,13 @@ def check_gold_input(silver: DataFrame | None) -> list[InputIssue]:
     return issues
 
 
+def gold_input_report(silver: DataFrame) -> DataFrame:
+    """The issues as a table, each with the rows it concerns; no rows if there is nothing to say."""
+    issues = [(issue.severity, issue.message) for issue in check_gold_input(silver)]
+    found = silver.sparkSession.createDataFrame(issues, "severity string, message string")
+    return found.crossJoin(silver.agg(F.count(F.lit(1)).alias("silver_rows")))
+
+
 def fill_missing_features(silver: DataFrame) -> DataFrame:
     """Derive optional columns that are absent; present ones stay untouched.
 

@@ -61,6 +61,7 @@ BRONZE_TABLE = "bronze/yellow_taxi_trips"
 SILVER_TABLE = "silver/taxi_trips"
 GOLD_FOLDER = "gold"
 STREAM_FOLDER = "streaming_output"
+LATE_FOLDER = "streaming_late"
 CSV_FOLDER = "for_power_bi"
 
 # Smallest unit each measure is recorded in, per whole: tips come out of a

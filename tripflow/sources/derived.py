@@ -13,7 +13,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-from tripflow.schema import DROPOFF, PICKUP
+from tripflow.schema import DROPOFF, PICKUP, TRIP_SCHEMA
 from tripflow.sources.files import has_data, is_folder
 from tripflow.sources.trips import stream_trips
 
@@ -89,3 +89,36 @@ def stream_trips_of_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     else:
         events = stream_trips(spark, sf_dir, schema=EVENT_SCHEMA, file_pattern="events.parquet")
     return trips_of(events)
+
+
+#: Trip files with the number of the event they come from.
+NUMBERED_TRIPS = StructType([StructField("trip_id", LongType()), *TRIP_SCHEMA])
+#: Most rows of a derived trip file, which one task writes.
+SLICE_ROWS = 2_000_000
+
+
+class TripSlices:
+    """The trips of a table as files that arrive one after the other, by pickup time.
+
+    The span of pickups is cut into ``least`` equal slices, or more so that a file has
+    about ``SLICE_ROWS`` rows. With ``late_every`` each trip whose number it divides
+    arrives three slices late.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, least: int = 6, late_every: int | None = None):
+        trips = read_trips(spark, sf_dir)
+        rows, first, last = trips.agg(
+            F.count("*"), F.min(F.unix_micros(PICKUP)), F.max(F.unix_micros(PICKUP))
+        ).first()
+        self.count = max(least, -(-rows // SLICE_ROWS))
+        number = F.expr(f"(unix_micros({PICKUP}) - {first or 0}) * {self.count} div {(last or 0) - (first or 0) + 1}")
+        if late_every is not None:
+            late = F.when(F.col("trip_id") % late_every == 0, 3).otherwise(0)
+            number = F.least(number + late, F.lit(self.count - 1))
+        self._trips = trips.withColumn("slice", number)
+
+    def arrive(self, folder: str, slices: range) -> None:
+        """Add the slices to the folder, in order: each file is later than the one before."""
+        for number in slices:
+            rows = self._trips.where(F.col("slice") == number).drop("slice")
+            rows.coalesce(1).write.mode("append").parquet(folder)

@@ -39,3 +39,17 @@ def has_data(spark: SparkSession, path: str) -> bool:
 def remove(spark: SparkSession, path: str) -> None:
     system, place = _place(spark, path)
     system.delete(place, True)
+
+
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; none if there is no such folder."""
+    system, place = _place(spark, path)
+    if not system.exists(place):
+        return []
+    return [status.getPath().getName() for status in system.listStatus(place)]
+
+
+def folder_values(spark: SparkSession, path: str, column: str) -> list[str]:
+    """The values of a partition column for which a table has a folder."""
+    start = f"{column}="
+    return [name.removeprefix(start) for name in file_names(spark, path) if name.startswith(start)]
