@@ -1,16 +1,19 @@
 """Whole jobs from raw files."""
 
+from pathlib import Path
+
 import pytest
 from conftest import TESTDATA
 from pyspark.sql import functions as F
 
 from tripflow.operators import quality, reports
 from tripflow.operators.gold import GOLD_TABLES
-from tripflow.plans.batch import build_gold, gold_summary, run_batch
+from tripflow.plans.batch import build_gold, gold_summary, run_batch, run_layers, update_months
 from tripflow.plans.export import export_gold
-from tripflow.schema import SILVER_TABLE
+from tripflow.schema import BRONZE_TABLE, ROLLUP_TABLE, SILVER_TABLE, UNITS
 from tripflow.sources.derived import read_trips_over_months
 from tripflow.sources.tables import read_table
+from tripflow.sources.trips import read_raw_trips
 
 
 @pytest.fixture(scope="module")
@@ -92,3 +95,57 @@ def test_unusable_silver_is_refused(spark, result, output):
         build_gold(spark, silver.drop("VendorID"), f"{output}/none")
     with pytest.raises(ValueError, match="empty"):
         build_gold(spark, silver.where("false"), f"{output}/none")
+
+
+def _files(folder):
+    return {str(p.relative_to(folder)) for p in Path(folder).rglob("*.parquet")}
+
+
+def test_months_are_added_and_replaced(spark, raw, output, result, tmp_path, capsys):
+    """Two months, then the second one again and the rest: the layers of all months at once."""
+    trips = read_raw_trips(spark, raw)
+    month = F.month("tpep_pickup_datetime")
+    year = trips.select(F.year("tpep_pickup_datetime")).first()[0]
+    run_layers(spark, trips.where(month <= 2).where((month == 1) | (F.col("VendorID") == 1)), str(tmp_path))
+    before = {name: _files(f"{tmp_path}/{name}") for name in (BRONZE_TABLE, SILVER_TABLE, ROLLUP_TABLE)}
+    tables = update_months(spark, trips.where(month > 1), str(tmp_path), [(year, m) for m in (2, 3, 4)])
+    for name, files in before.items():
+        kept = {f for f in files if "month=1/" in f}
+        assert kept and kept <= _files(f"{tmp_path}/{name}")
+        assert not (files - kept) & _files(f"{tmp_path}/{name}")
+    layers = {BRONZE_TABLE: result.bronze, SILVER_TABLE: result.silver}
+    for name, whole in layers.items():
+        clocks = [c for c in whole.columns if c.endswith("timestamp")]
+        ours = read_table(spark, f"{tmp_path}/{name}").drop(*clocks).select(whole.drop(*clocks).columns)
+        assert ours.exceptAll(whole.drop(*clocks)).isEmpty() and ours.count() == whole.count()
+    for name, table in tables.items():
+        whole = result.gold[name].drop("processing_timestamp")
+        near = {c: F.round(c, 6) for c, kind in whole.dtypes if kind == "double"}
+        ours = table.select(whole.columns).withColumns(near)
+        assert ours.exceptAll(whole.withColumns(near)).isEmpty() and ours.count() == whole.count()
+    silver = read_table(spark, f"{tmp_path}/{SILVER_TABLE}", months=[(year, 3)])
+    silver.explain()
+    assert "pickup_month#" in capsys.readouterr().out.split("PartitionFilters")[1]
+
+
+def test_months_are_checked_before_anything_is_replaced(spark, raw, tmp_path):
+    trips = read_raw_trips(spark, raw)
+    month = F.month("tpep_pickup_datetime")
+    year = trips.select(F.year("tpep_pickup_datetime")).first()[0]
+    run_layers(spark, trips.where(month == 1), str(tmp_path))
+    files = _files(tmp_path)
+    with pytest.raises(ValueError, match="other months"):
+        update_months(spark, trips.where(month <= 2), str(tmp_path), [(year, 2)])
+    with pytest.raises(ValueError, match="other units"):
+        update_months(spark, trips.where(month == 2), str(tmp_path), [(year, 2)], units=UNITS)
+    assert _files(tmp_path) == files
+
+
+def test_refused_values_are_set_aside(spark, raw, tmp_path):
+    read_raw_trips(spark, raw).limit(3).withColumn("VendorID", F.lit("?")).write.parquet(f"{tmp_path}/raw/bad.parquet")
+    read_raw_trips(spark, raw).limit(5).write.parquet(f"{tmp_path}/raw/good.parquet")
+    with pytest.raises(Exception, match="VendorID"):
+        run_batch(spark, f"{tmp_path}/raw/*.parquet", output=f"{tmp_path}/out")
+    batch = run_batch(spark, f"{tmp_path}/raw/*.parquet", output=f"{tmp_path}/out", refused=f"{tmp_path}/refused")
+    assert batch.bronze.count() == 5
+    assert read_table(spark, f"{tmp_path}/refused").count() == 3

@@ -1,12 +1,14 @@
 import pytest
 from conftest import trip
 from pyspark.sql import functions as F
+from pyspark.sql.types import _parse_datatype_string
 
 from tripflow.operators.bronze import with_lineage
 from tripflow.schema import TRIP_SCHEMA
 from tripflow.sources.scratch import scratch_path, shared_folder
-from tripflow.sources.tables import export_csv, find_table, read_table, row_counts, write_table
-from tripflow.sources.trips import read_raw_trips, read_trip_file
+from tripflow.sources.files import file_names
+from tripflow.sources.tables import export_csv, find_table, read_table, row_counts, write_months, write_table
+from tripflow.sources.trips import read_raw_trips, read_trip_file, split_raw_trips, widened
 
 
 def save(rows, folder, name):
@@ -54,6 +56,87 @@ def test_conflicting_types_are_read_in_groups(spark, trips, tmp_path):
     assert merged.exceptAll(rows.union(rows).union(rows).union(rows)).isEmpty()
 
 
+DIRTY = [
+    ("passenger_count", "double", 2.5),
+    ("passenger_count", "double", float("nan")),
+    ("PULocationID", "long", 3_000_000_000),
+    ("trip_distance", "string", "far"),
+    ("VendorID", "double", 1e300),
+    ("VendorID", "string", "2.5"),
+    ("fare_amount", "long", 2**53 + 1),
+]
+
+
+@pytest.mark.parametrize("column, kind, value", DIRTY)
+def test_a_value_that_does_not_fit_is_refused_not_lost(spark, trips, tmp_path, column, kind, value):
+    whole = {"trip_distance": 4.0, "fare_amount": 4.0}.get(column, 4)
+    clean = trips(trip(**{column: whole}), trip(**{column: None}))
+    save(clean, tmp_path, "2024-01")
+    typed = clean.withColumn(column, F.col(column).cast(kind))
+    dirty = typed.limit(1).withColumn(column, F.lit(value).cast(kind))
+    save(typed.unionAll(dirty), tmp_path, "2024-02")
+    accepted, refused = split_raw_trips(spark, f"{tmp_path}/*.parquet")
+    assert declared_types(accepted) == {f.name: f.dataType for f in TRIP_SCHEMA}
+    assert sorted(map(str, accepted.collect())) == sorted(map(str, clean.collect() * 2))
+    (row,) = refused.collect()
+    in_file = spark.read.parquet(row.source_file).select("_metadata.row_index", F.col(column).cast("string"))
+    assert "2024-02" in row.source_file and (row.row, row.value) in in_file.collect()
+    found = {"long": "bigint"}.get(kind, kind)
+    shown = {"nan": "NaN", "1e+300": "1.0E300"}.get(str(value), str(value))
+    assert (row.column_name, row.found_type, row.value) == (column, found, shown)
+    with pytest.raises(Exception, match=f"{column}: .* is no"):
+        read_raw_trips(spark, f"{tmp_path}/*.parquet").collect()
+    # Who does not read the column is not bothered by it.
+    assert read_raw_trips(spark, f"{tmp_path}/*.parquet").select("tolls_amount").count() == 5
+
+
+def test_rows_with_several_refused_values(spark, trips, tmp_path):
+    rows = trips(trip()).withColumns({"passenger_count": F.lit(0.5), "payment_type": F.lit("card")})
+    save(rows, tmp_path, "a")
+    save(trips(trip()), tmp_path, "b")
+    accepted, refused = split_raw_trips(spark, f"{tmp_path}/*.parquet")
+    assert accepted.count() == 1
+    assert {(r.row, r.column_name) for r in refused.collect()} == {(0, "passenger_count"), (0, "payment_type")}
+
+
+def test_columns_that_are_not_declared_widen(spark, trips, tmp_path):
+    for name, value in [("a", F.lit(7)), ("b", F.lit(2**40)), ("c", F.lit(5).cast("short"))]:
+        save(trips(trip()).withColumn("note", value), tmp_path, name)
+    merged = read_raw_trips(spark, f"{tmp_path}/*.parquet")
+    assert dict(merged.dtypes)["note"] == "bigint"
+    assert {r.note for r in merged.collect()} == {7, 2**40, 5}
+    save(trips(trip()).withColumn("note", F.lit("x")), tmp_path, "d")
+    assert {r.note for r in read_raw_trips(spark, f"{tmp_path}/*.parquet").collect()} == {"7", str(2**40), "5", "x"}
+
+
+def test_widest_types():
+    kinds = {name: _parse_datatype_string(name) for name in "short int bigint float double date timestamp string binary".split()}
+    for given, widest in {
+        "int": "int",
+        "short int": "int",
+        "int bigint": "bigint",
+        "int float": "double",
+        "float double": "double",
+        "bigint double": "string",
+        "date timestamp": "timestamp",
+        "int date": "string",
+        "binary string": "string",
+    }.items():
+        names = given.split()
+        assert widened(kinds[n] for n in names) == widened(kinds[n] for n in names[::-1]) == kinds[widest]
+
+
+def test_months_are_replaced_alone(spark, tmp_path):
+    path, columns = f"{tmp_path}/table", ("year", "month")
+    rows = lambda *r: spark.createDataFrame(list(r), "id int, year int, month int")
+    write_table(rows((1, 2024, 1), (2, 2024, 2), (3, 2024, 3)), path, columns)
+    files = {m: file_names(spark, f"{path}/year=2024/month={m}") for m in (1, 2, 3, 4)}
+    write_months(rows((20, 2024, 2), (40, 2024, 4)), path, [(2024, 2), (2024, 3), (2024, 4)], columns)
+    assert sorted(r.id for r in read_table(spark, path).collect()) == [1, 20, 40]
+    assert file_names(spark, f"{path}/year=2024/month=1") == files[1]
+    assert not set(file_names(spark, f"{path}/year=2024/month=2")) & set(files[2])
+
+
 def test_times_without_zone_are_read_as_timestamps(spark, trips, tmp_path):
     rows = trips(trip())
     ntz = rows.withColumn("tpep_pickup_datetime", F.col("tpep_pickup_datetime").cast("timestamp_ntz"))

@@ -443,4 +443,18 @@ ORDER BY total_pickups DESC, PULocationID LIMIT 5""",
   (VALUES ('error', 'column VendorID is missing'),
     ('warning', 'column quality_score will be derived')) AS issues(severity, message)"""
     ),
+    "bronze_refused_values": f"""WITH {_TRIPS}
+SELECT 1 AS generation, 'passenger_count' AS column_name, 'double' AS found_type,
+  CAST(passenger_count + 0.5::double AS varchar) AS value
+FROM trips WHERE trip_id % 3 = 1 AND trip_id % 101 = 0 AND passenger_count IS NOT NULL
+UNION ALL
+SELECT 1, 'PULocationID', 'bigint', CAST(3000000000 + trip_id AS varchar)
+FROM trips WHERE trip_id % 3 = 1 AND trip_id % 103 = 0
+UNION ALL
+SELECT 2, 'trip_distance', 'string', 'n/a' FROM trips WHERE trip_id % 3 = 2 AND trip_id % 107 = 0""",
+    "bronze_accepted_rows": f"""WITH {_TRIPS}
+SELECT * FROM trips
+WHERE NOT (trip_id % 3 = 1 AND trip_id % 101 = 0 AND passenger_count IS NOT NULL)
+  AND NOT (trip_id % 3 = 1 AND trip_id % 103 = 0) AND NOT (trip_id % 3 = 2 AND trip_id % 107 = 0)""",
+    **{f"gold_updated_{key}": _from_silver(select) for key, select in _GOLD.items()},
 }

@@ -17,7 +17,15 @@ from tripflow.functions.features import payment_label
 from tripflow.functions.rules import CLEAN_INPUT, keep
 from tripflow.functions.totals import RollupTotals, TripTotals
 from tripflow.operators import bronze, gold, profile, quality, reports, silver
-from tripflow.plans.batch import build_bronze, build_gold, build_silver, gold_summary, run_layers
+from tripflow.plans.batch import (
+    build_bronze,
+    build_gold,
+    build_silver,
+    gold_paths,
+    gold_summary,
+    run_layers,
+    update_months,
+)
 from tripflow.plans.export import CSV_NAMES, export_gold
 from tripflow.plans.stream import (
     analyse,
@@ -39,7 +47,7 @@ from tripflow.sources.derived import (
 )
 from tripflow.sources.scratch import scratch_path
 from tripflow.sources.tables import read_table, write_table
-from tripflow.sources.trips import read_raw_trips, read_trip_file, stream_trips
+from tripflow.sources.trips import read_raw_trips, read_trip_file, split_raw_trips, stream_trips
 from tripflow.streaming import cells as stream_cells
 from tripflow.streaming import metrics as stream_metrics
 from tripflow.streaming import reports as stream_reports
@@ -130,6 +138,38 @@ def declared_schema_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _without_zone(spark.read.schema(NUMBERED_TRIPS).parquet(folder))
 
 
+def _dirty_files(spark: SparkSession, sf_dir: str) -> str:
+    """Three generations of raw files, two with values that their columns cannot hold."""
+    trips = _trips(spark, sf_dir)
+    folder = scratch_path(spark, "dirty")
+    number = F.col("trip_id")
+    passengers = F.col("passenger_count").cast("double")
+    halves = F.when(number % 101 == 0, passengers + 0.5).otherwise(passengers)
+    zones = F.when(number % 103 == 0, F.lit(3_000_000_000) + number).otherwise(F.col("PULocationID").cast("long"))
+    words = F.when(number % 107 == 0, F.lit("n/a")).otherwise(F.col("trip_distance").cast("string"))
+    generations = {
+        0: trips,
+        1: trips.withColumns({"passenger_count": halves, "PULocationID": zones}),
+        2: trips.withColumn("trip_distance", words),
+    }
+    for third, rows in generations.items():
+        write_table(rows.where(number % 3 == third), f"{folder}/generation_{third}")
+    return f"{folder}/*/*.parquet"
+
+
+def bronze_refused_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values that no cast can bring into their column without loss, with their files."""
+    _, refused = split_raw_trips(spark, _dirty_files(spark, sf_dir), declared=NUMBERED_TRIPS)
+    generation = F.regexp_extract("source_file", "generation_([0-9])", 1).cast("int").alias("generation")
+    return refused.select(generation, "column_name", "found_type", "value")
+
+
+def bronze_accepted_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows beside them, all in declared types."""
+    accepted, _ = split_raw_trips(spark, _dirty_files(spark, sf_dir), declared=NUMBERED_TRIPS)
+    return _without_zone(accepted.select(*NUMBERED_TRIPS.fieldNames()))
+
+
 # --- silver ------------------------------------------------------------------
 
 
@@ -420,6 +460,27 @@ def stream_summary_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_summary(spark, output)
 
 
+def gold_updated(table: gold.GoldTable) -> Query:
+    """A gold table of all months, built from two and brought up to date by the others.
+
+    The second month came with half of its trips at first, and is replaced.
+    """
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        trips, output = _months(spark, sf_dir), scratch_path(spark, "updated")
+        month = F.month(PICKUP)
+        found = sorted(tuple(r) for r in trips.select(F.year(PICKUP), month).distinct().collect())
+        in_months = lambda months: F.struct(F.year(PICKUP), month).isin([F.struct(F.lit(y), F.lit(m)) for y, m in months])
+        first = trips.where(in_months(found[:2])).where((F.col("trip_id") % 2 == 0) | in_months(found[:1]))
+        silver_rows = build_silver(spark, build_bronze(spark, first, output), output)
+        build_gold(spark, silver_rows, output, units=UNITS)
+        update_months(spark, trips.where(in_months(found[1:])), output, found[1:], units=UNITS)
+        rows = read_table(spark, gold_paths(output)[table.name]).drop("processing_timestamp", "layer")
+        return rounded(rows, *[name for name in rows.columns if name == "avg_speed"])
+
+    return query
+
+
 def gold_input_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the gold layer says about silver rows that lack a key and a feature."""
     return gold.gold_input_report(_clean(spark, sf_dir).drop("VendorID", "quality_score"))
@@ -578,4 +639,7 @@ QUERIES: dict[str, Query] = {
     "raw_file_rows": raw_file_rows,
     "declared_schema_rows": declared_schema_rows,
     "gold_input_report": gold_input_report,
+    "bronze_refused_values": bronze_refused_values,
+    "bronze_accepted_rows": bronze_accepted_rows,
+    **{f"gold_updated_{key}": gold_updated(table) for key, table in _GOLD_KEYS.items()},
 }

@@ -98,9 +98,9 @@ def rank_within_hour(locations: DataFrame) -> DataFrame:
     return locations.withColumn("pickup_density_rank", F.dense_rank().over(busiest_first))
 
 
-_MONTH = ("pickup_year", "pickup_month")
+MONTH = ("pickup_year", "pickup_month")
 
-HOURLY = GoldTable("hourly_trip_analytics", (*_MONTH, "pickup_hour"), _MONTH, _hourly)
+HOURLY = GoldTable("hourly_trip_analytics", (*MONTH, "pickup_hour"), MONTH, _hourly)
 LOCATION = GoldTable(
     "location_hotspots",
     ("PULocationID", "pickup_hour"),
@@ -108,11 +108,11 @@ LOCATION = GoldTable(
     _by_location,
     finish=rank_within_hour,
 )
-PAYMENT = GoldTable("payment_analytics", ("payment_type", *_MONTH), _MONTH, _by_payment)
-VENDOR = GoldTable("vendor_performance", ("VendorID", *_MONTH), _MONTH, _by_vendor)
+PAYMENT = GoldTable("payment_analytics", ("payment_type", *MONTH), MONTH, _by_payment)
+VENDOR = GoldTable("vendor_performance", ("VendorID", *MONTH), MONTH, _by_vendor)
 GOLD_TABLES = (HOURLY, LOCATION, PAYMENT, VENDOR)
 
-_SUMMED = (
+SUMMED = (
     "fare_amount",
     "tip_amount",
     "total_amount",
@@ -131,7 +131,7 @@ def trip_rollup(silver: DataFrame, units: Mapping[str, int] | None = None) -> Da
     Everything in it merges, so rows combine before the shuffle and a key with
     a third of all trips arrives as one row per task.
     """
-    sums = partial_sums(TripTotals(units), _SUMMED, ranged=("total_amount",))
+    sums = partial_sums(TripTotals(units), SUMMED, ranged=("total_amount",))
     return silver.groupBy(*ROLLUP_KEYS).agg(*sums)
 
 

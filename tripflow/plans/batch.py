@@ -7,18 +7,19 @@ lineage: a lost executor costs its own tasks, and no layer is computed twice.
 from __future__ import annotations
 
 import logging
-import uuid
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from tripflow.operators import bronze, gold, quality, silver
-from tripflow.schema import BRONZE_TABLE, GOLD_FOLDER, SILVER_TABLE
-from tripflow.sources.files import remove
-from tripflow.sources.tables import read_table, row_counts, write_table
-from tripflow.sources.trips import read_raw_trips
+from tripflow.schema import BRONZE_TABLE, GOLD_FOLDER, PICKUP, ROLLUP_TABLE, SILVER_TABLE, TRIP_SCHEMA
+from tripflow.sources.tables import find_table, read_table, row_counts, write_months, write_table
+from tripflow.sources.trips import read_raw_trips, split_raw_trips
 
 log = logging.getLogger(__name__)
 
@@ -64,6 +65,7 @@ def build_gold(
 ) -> dict[str, DataFrame]:
     """The four tables from one scan of silver, through a rollup below ``output``.
 
+    The rollup stays, by month: :func:`update_months` replaces months of it.
     ``units`` as in :mod:`tripflow.functions.totals`.
     """
     issues = gold.check_gold_input(silver_rows)
@@ -73,9 +75,15 @@ def build_gold(
     for issue in issues:
         log.warning(issue.message)
 
-    rollup_path = f"{output}/_trip-rollup-{uuid.uuid4().hex}"
-    write_table(gold.trip_rollup(gold.fill_missing_features(silver_rows), units), rollup_path)
-    tables = gold.gold_from_rollup(read_table(spark, rollup_path), units)
+    rollup = gold.trip_rollup(gold.fill_missing_features(silver_rows), units)
+    write_table(rollup, f"{output}/{ROLLUP_TABLE}", gold.MONTH)
+    return _gold_tables(spark, output, fmt, units)
+
+
+def _gold_tables(
+    spark: SparkSession, output: str, fmt: str, units: Mapping[str, int] | None
+) -> dict[str, DataFrame]:
+    tables = gold.gold_from_rollup(read_table(spark, f"{output}/{ROLLUP_TABLE}"), units)
     paths = gold_paths(output)
 
     def write(table: gold.GoldTable) -> None:
@@ -83,14 +91,55 @@ def build_gold(
         write_table(rows, paths[table.name], table.partitions, fmt)
 
     # Short jobs on the small rollup: side by side they wait for each other less.
-    try:
-        with ThreadPoolExecutor(len(gold.GOLD_TABLES)) as pool:
-            list(pool.map(write, gold.GOLD_TABLES))
-    finally:
-        remove(spark, rollup_path)
+    with ThreadPoolExecutor(len(gold.GOLD_TABLES)) as pool:
+        list(pool.map(write, gold.GOLD_TABLES))
     return {name: read_table(spark, path, fmt) for name, path in paths.items()}
 
 
+def update_months(
+    spark: SparkSession,
+    raw: DataFrame,
+    output: str,
+    months: Sequence[tuple[int, int]],
+    fmt: str = "parquet",
+    units: Mapping[str, int] | None = None,
+) -> dict[str, DataFrame]:
+    """Add or replace some months of all layers; the gold tables cover all months again.
+
+    ``raw`` holds all trips of these months and no others: a trip of another month
+    raises, for its month would lose the rest. Bronze, silver and the rollup are written
+    for these months alone, and silver is read for these alone; the gold tables are
+    small and come whole from the rollup, which must have been built with the same units.
+    """
+    wanted = [(F.year(PICKUP) == y) & (F.month(PICKUP) == m) for y, m in months]
+    inside = F.coalesce(reduce(lambda a, b: a | b, wanted, F.lit(False)), F.lit(False))
+    strays = raw.where(~inside).count()
+    if strays:
+        raise ValueError(f"{strays} trips are of other months than {list(months)}")
+    bronze_path, silver_path = f"{output}/{BRONZE_TABLE}", f"{output}/{SILVER_TABLE}"
+    rollup_path = f"{output}/{ROLLUP_TABLE}"
+    _check_units(spark, rollup_path, units)
+
+    write_months(bronze.with_lineage(raw), bronze_path, months, bronze.PARTITIONS, fmt)
+    changed = read_table(spark, bronze_path, fmt, months, bronze.PARTITIONS)
+    write_months(silver.silver_trips(changed), silver_path, months, silver.PARTITIONS, fmt)
+    changed = read_table(spark, silver_path, fmt, months, silver.PARTITIONS)
+    write_months(gold.trip_rollup(changed, units), rollup_path, months, gold.MONTH)
+    return _gold_tables(spark, output, fmt, units)
+
+
+def _check_units(spark: SparkSession, rollup_path: str, units: Mapping[str, int] | None) -> None:
+    """Sums in units are whole numbers, others are not: the two cannot be added up."""
+    rollup = find_table(spark, rollup_path)
+    if rollup is None:
+        return
+    kinds = dict(rollup.dtypes)
+    amounts = [field.name for field in TRIP_SCHEMA if field.dataType == DoubleType()]
+    for name in set(amounts).intersection(gold.SUMMED):
+        if (kinds[f"{name}_sum"] == "bigint") != (name in (units or {})):
+            raise ValueError(f"the rollup sums {name} in other units")
+
+
 def gold_summary(spark: SparkSession, output: str, fmt: str = "parquet") -> DataFrame:
     return row_counts(spark, gold_paths(output), fmt)
 
@@ -101,9 +150,19 @@ def run_batch(
     output: str,
     fmt: str = "parquet",
     rebalance: bool = False,
+    refused: str | None = None,
 ) -> BatchResult:
-    """All batch layers from raw trip files; a failing step raises."""
-    return run_layers(spark, read_raw_trips(spark, *raw_paths), output, fmt, rebalance)
+    """All batch layers from raw trip files; a failing step raises.
+
+    A value that does not fit its column raises too, unless ``refused`` names a folder:
+    then the rows with such values are left out and the values are written there.
+    """
+    if refused is None:
+        raw = read_raw_trips(spark, *raw_paths)
+    else:
+        raw, values = split_raw_trips(spark, *raw_paths)
+        write_table(values, refused)
+    return run_layers(spark, raw, output, fmt, rebalance)
 
 
 def run_layers(

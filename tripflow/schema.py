@@ -60,6 +60,7 @@ PAYMENT_LABELS = {
 BRONZE_TABLE = "bronze/yellow_taxi_trips"
 SILVER_TABLE = "silver/taxi_trips"
 GOLD_FOLDER = "gold"
+ROLLUP_TABLE = "rollup/trips"
 STREAM_FOLDER = "streaming_output"
 LATE_FOLDER = "streaming_late"
 CSV_FOLDER = "for_power_bi"

@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripflow.sources.files import has_data
+from tripflow.sources.files import file_names, has_data, remove
 
 
 def write_table(
@@ -36,6 +36,32 @@ def write_table(
     writer.save(path)
 
 
+def write_months(
+    rows: DataFrame,
+    path: str,
+    months: Sequence[tuple[int, int]],
+    month_columns: tuple[str, str],
+    fmt: str = "parquet",
+) -> None:
+    """Replace some months of a table that is partitioned by month; the others stay untouched.
+
+    ``rows`` hold these months and no others. A month without rows is emptied. Files of a
+    month are replaced only when all new ones are written.
+    """
+    spark = rows.sparkSession
+    folders = {f"{path}/{month_columns[0]}={y}/{month_columns[1]}={m}" for y, m in months}
+    if fmt == "delta":
+        wanted = " OR ".join(f"({month_columns[0]} = {y} AND {month_columns[1]} = {m})" for y, m in months)
+        rows.write.mode("overwrite").format(fmt).option("replaceWhere", wanted).save(path)
+        return
+    before = {folder: set(file_names(spark, folder)) for folder in folders}
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*month_columns).format(fmt).save(path)
+    for folder, names in before.items():
+        if names and set(file_names(spark, folder)) == names:
+            remove(spark, folder)
+
+
 def read_table(
     spark: SparkSession,
     path: str,
