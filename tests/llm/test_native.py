@@ -6,6 +6,7 @@ import math
 import random
 import re
 import string
+import time
 
 import pytest
 from conftest import TESTDATA
@@ -39,7 +40,7 @@ def mixed_windows(run):
         if not (re.search("[0-9]", window) and re.search("[A-Za-z]", window)):
             continue
         bits = -sum(n / size * math.log2(n / size) for n in collections.Counter(window).values())
-        kind = "hex" if re.fullmatch("[0-9a-f]+", window) else "mixed"
+        kind = "hex" if re.fullmatch("[0-9a-f]+|[0-9A-F]+", window) else "mixed"
         if bits >= secret_scan.LEAST_BITS[kind] - 1e-6:
             ends.append((at, at + size))
     return (ends[0][0], ends[-1][1]) if ends else None
@@ -94,6 +95,79 @@ def test_secrets_joined_to_others_are_redacted(spark):
     assert clean[3] == "x [SECRET]-some-long-list-of-plain-words y"
 
 
+def spans_by_hand(text):
+    """Patterns, then every window of what they and the known parts leave of a run."""
+    text = text or ""
+    base = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 8]
+    base += [(m.start(), 1, m.end()) for m in re.finditer(r"AKIA[A-Z0-9]{12,}", text)]
+    base += [(m.start(), 2, m.end()) for m in re.finditer(r"[0-9a-f]{32,}", text)]
+    gone = bytearray(len(text))
+    for start, _, end in base + [(m.start(), 4, m.end()) for m in re.finditer(secret_scan.KNOWN, text)]:
+        gone[start:end] = b"\1" * (end - start)
+    found = list(base)
+    for run in re.finditer("[A-Za-z0-9+/_=-]{24,}", text):
+        marks = "".join("x" if gone[k] else "o" for k in range(run.start(), run.end()))
+        for left in re.finditer("o{24,}", marks):
+            at = run.start() + left.start()
+            piece = text[at : run.start() + left.end()]
+            part = mixed_windows(piece)
+            if part and not any(re.match(p, piece) for p in secret_scan.ALLOWED):
+                found.append((part[0] + at, 3, part[1] + at))
+    return ",".join(f"{secret_scan.KINDS[k]}:{s}:{e}" for s, k, e in sorted(found))
+
+
+def test_joined_and_known_parts(spark):
+    """Named, known and unnamed secrets joined in any order: query and redaction follow one rule."""
+    random.seed(8)
+    pick = lambda n, of: "".join(random.choice(of) for _ in range(n))
+    alnum = string.ascii_letters + string.digits
+    make = [
+        lambda: pick(40, alnum),
+        lambda: pick(40, "0123456789abcdef"),
+        lambda: pick(40, "0123456789ABCDEF"),
+        lambda: "AKIA" + pick(16, string.ascii_uppercase),
+        lambda: random.choice(["example", "EXAMPLE", "sha256-" + pick(43, alnum) + "=", "sha1-" + pick(50, alnum)]),
+        lambda: "123e4567-e89b-12d3-a456-426614174000",
+        lambda: "api_key=" + pick(12, alnum),
+        lambda: "some-plain-words-in-a-row",
+    ]
+    texts = [random.choice("/-_=+ ").join(random.choice(make)() for _ in range(random.randrange(1, 7))) for _ in range(300)]
+    key = pick(40, alnum)
+    texts += [f"AKIA{pick(16, string.ascii_uppercase)}/{key}", f"{key}example", f"sha256-{pick(43, alnum)}={key}"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    spans = {r.doc_id: r.spans for r in secret_scan.scan(docs).collect()}
+    assert spans == {i: spans_by_hand(t) for i, t in enumerate(texts)}
+    assert all("entropy" in spans[i] for i in (300, 301, 302))
+    for row in secret_scan.redacted(docs).collect():
+        text, marks = texts[row.doc_id], [tuple(map(int, s.split(":")[1:])) for s in spans[row.doc_id].split(",") if s]
+        out, at = "", 0
+        for start, end in sorted(marks):
+            out += "" if start < at else text[at:start] + "[SECRET]"
+            at = max(at, end)
+        assert row.text == out + text[at:]
+
+
+def test_thousands_of_matches_take_time_in_line_with_them(spark):
+    def seconds(n):
+        text = "".join(f"é token=abcdefgh{k % 10} " for k in range(n)) + "x" * 30_000
+        docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        start = time.perf_counter()
+        row = secret_scan.scan(docs).first()
+        clean = secret_scan.redacted(docs).first().text
+        assert row.n_assign == n and clean.count("[SECRET]") == n and "token" not in clean
+        return time.perf_counter() - start
+
+    seconds(1000)
+    assert seconds(16_000) < 6 * seconds(4_000) + 1
+
+
+def test_clashing_names_of_secrets(spark):
+    docs = spark.createDataFrame([(1, "token=abcdefgh", 5, "b", 7)], "doc_id int, text string, _text int, _base string, n_chars int")
+    row = secret_scan.redacted(docs).first()
+    assert tuple(row) == (1, "[SECRET]", 5, "b", 8)
+    assert secret_scan.scan(docs).first().n_assign == 1
+
+
 def test_upper_case_hex_keys_are_redacted(spark):
     random.seed(7)
     keys = ["".join(random.choice("0123456789ABCDEF") for _ in range(n)) for n in [40, 64] * 20]
