@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import numpy as np
 from conftest import TESTDATA
@@ -139,6 +140,54 @@ def test_pages(spark):
     assert page_text.extract_text(pages.limit(0)).count() == 0
 
 
+def test_pages_without_declared_main_text(spark):
+    """Trained on half of the pages, tried on the others with their main elements, then all, taken away."""
+    pages = [r.html for r in spark.read.parquet(f"{TESTDATA}/pages.parquet").orderBy("page_id").collect() if r.html]
+    model = page_text.Extractor(pages[::2], 64)
+    others = pages[1::2]
+    main = re.compile(r"<(/?)article\b[^>]*>")
+    every = re.compile(r"<(/?)(?:article|main|nav|header|footer|aside|form)\b[^>]*>")
+    for tags in (main, every):
+        found = sum(model.extract(tags.sub(r"<\1div>", page)) == by_tags(page) for page in others)
+        assert found >= 0.95 * len(others), (found, len(others))
+    # What declares a label is no feature: no feature tells the labels apart by itself.
+    assert not any("declared" in name for name in model.ids)
+
+
+def test_pages_that_declare_only_what_is_aside(spark):
+    """No page says what its main text is: what is not declared aside is kept."""
+    rows = [(k, "u", f"<nav>menu {k}</nav><div><p>Article {k}. It is long enough.</p></div>") for k in range(30)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in page_text.extract_text(pages).collect()} == {
+        k: f"Article {k}. It is long enough." for k in range(30)
+    }
+
+
+def test_odd_markup(spark):
+    pages = [r.html for r in spark.read.parquet(f"{TESTDATA}/pages.parquet").limit(100).collect() if r.html]
+    model = page_text.Extractor(pages, 64)
+    long = "A long paragraph of the text, as it is. And some more of it."
+    for page in (
+        f"<article><h1>T</h1><div class='elementor-widget-wrap'><p>{long}</p></div></article>",
+        f"<article><h1 title=it's>T</h1><p title='a > b' id=x\"y>{long}</p></article>",
+        f"<article class=a data-x=\"<p>no</p>\"><header class='post-header'><h1>T</h1></header><p>{long}</article>",
+    ):
+        assert model.extract(page) == f"T\n{long}", page
+
+
+def test_deep_and_broken_pages_take_time_in_line_with_them():
+    import tracemalloc
+
+    for page in ("<div>a" * 100_000, "<b>x" * 100_000, "<div>" * 50_000 + "</x>" * 50_000, "<a " * 50_000, '<a b="' * 50_000):
+        start = time.perf_counter()
+        page_text.leaf_blocks(page)
+        assert time.perf_counter() - start < 5
+    tracemalloc.start()
+    page_text.leaf_blocks("<div>a" * 100_000)
+    assert tracemalloc.get_traced_memory()[1] < 100e6
+    tracemalloc.stop()
+
+
 def test_open_heads_and_skipped_elements_end():
     def texts(page):
         return [b.text for b in page_text.leaf_blocks(page)]

@@ -5,17 +5,22 @@ block. A linear-chain conditional random field over the blocks, with the states
 and "main", weighs the tags and class names a block stands in and what its text looks
 like; Viterbi picks the best labelling of the page.
 
-No table says which blocks are main text, so the training pages are labelled by what
-their markup declares: a block within an article or main element is main text, one
-within a menu, footer, advert and the like is not; blocks for which nothing is
-declared are left to the features, and pages without a declared block are not trained on.
+No table says which blocks are main text, so training pages are labelled by what their
+markup declares: a block within an article or main element is main text, one within a
+menu, footer, advert and the like is not, nor is one beside declared main text for which
+nothing is declared. Pages that declare no main text are not trained on. What declares a
+label is no feature: the field sees single tags and families of names, and it sees each
+training page again without the main elements, and without them and half of the others,
+so it learns to tell main text by its looks where markup is silent.
 """
 
 from __future__ import annotations
 
+import collections
 import html
+import random
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -53,17 +58,22 @@ LISTS = frozenset("ul ol li dl dt dd".split())
 ASIDE_TAGS = frozenset("nav header footer aside form menu button select dialog search label fieldset".split())
 MAIN_TAGS = frozenset("article main".split())
 #: Words in class names, ids and roles that declare something beside the main text.
-ASIDE_WORDS = frozenset(
-    "ad ads advert adverts advertisement banner breadcrumb breadcrumbs button comment comments"
-    " consent contentinfo cookie cookies disqus footer form header login masthead menu modal nav"
-    " navbar navigation newsletter notice pager pagination popup promo promoted related reply replies"
-    " search share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split()
-)
+FAMILIES = {
+    "ad": "ad ads advert adverts advertisement banner promo promoted sponsor sponsored",
+    "menu": "breadcrumb breadcrumbs menu nav navbar navigation pager pagination masthead toolbar",
+    "comment": "comment comments disqus reply replies",
+    "notice": "consent cookie cookies modal newsletter notice popup signup subscribe",
+    "form": "button form login search",
+    "header": "header",
+    "footer": "contentinfo footer",
+    "more": "related share sharing sidebar social",
+}
+ASIDE_WORDS = {word: family for family, words in FAMILIES.items() for word in words.split()}
 MAIN_WORDS = frozenset("article body content entry main post story text".split())
 
 TAG = re.compile(
     r"<!--.*?(?:-->|$)|<(?P<skip>" + "|".join(SKIPPED_TAGS) + r")\b[^>]*>"
-    r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^'\"<>]++)*+)>|<[!?/][^>]*(?:>|$)",
+    r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^<>=]++|=\s*+(?:\"[^\"]*\"|'[^']*')?+)*+)>|<[!?/][^>]*(?:>|$)",
     re.S | re.I,
 )
 #: Start and end tags of each skipped element.
@@ -83,11 +93,46 @@ def names_in(rest: str) -> tuple[str, ...]:
     return tuple(WORDS.findall(split.lower()))
 
 
+class Element:
+    """An open element: what it and those around it say. ``marks`` are its own."""
+
+    __slots__ = ("parent", "tag", "linked", "inner", "said", "marks", "near", "seen", "named")
+
+    def __init__(self, parent: Element | None, tag: str, names: tuple[str, ...]) -> None:
+        self.parent, self.tag = parent, tag
+        named = frozenset(names) if tag not in ("html", "body") else frozenset()
+        said = parent.said if parent else None
+        marks = []
+        # A header within an article belongs to the article.
+        if tag in MAIN_TAGS or (tag in ASIDE_TAGS and not (tag == "header" and said)):
+            marks.append(f"<{tag}>")
+        families = {ASIDE_WORDS[word] for word in named if word in ASIDE_WORDS}
+        marks += sorted(f for f in families if not (f == "header" and said))
+        self.marks = tuple(marks)
+        if marks:
+            said = int(marks == [f"<{tag}>"] and tag in MAIN_TAGS)
+        #: 1 for main text, 0 for others, None if the markup does not say; the innermost word counts.
+        self.said: int | None = said
+        self.linked = tag == "a" or bool(parent and parent.linked)
+        # Lists say nothing: menus have them, and so have articles.
+        self.inner = tag if tag in BLOCK_TAGS and tag not in LISTS else parent.inner if parent else ""
+        self.near, self.seen = seen_marks(self.marks, parent.near if parent else (), parent.seen if parent else frozenset())
+        named = named & MAIN_WORDS
+        self.named = named | parent.named if parent and not parent.named >= named else parent.named if parent else named
+
+
+def seen_marks(marks: tuple, near: tuple, seen: frozenset) -> tuple[tuple, frozenset]:
+    """The innermost marks and all marks, from an element's own and those around it."""
+    if not marks:
+        return near, seen
+    return marks, seen if seen >= frozenset(marks) else seen.union(marks)
+
+
 class Block:
-    __slots__ = ("text", "tags", "links")
+    __slots__ = ("text", "element", "links")
 
-    def __init__(self, text: str, tags: tuple, links: int) -> None:
-        self.text, self.tags, self.links = text, tags, links
+    def __init__(self, text: str, element: Element, links: int) -> None:
+        self.text, self.element, self.links = text, element, links
 
 
 def closed(page: str, tag: str) -> dict[int, int]:
@@ -107,9 +152,11 @@ def closed(page: str, tag: str) -> dict[int, int]:
 
 
 def leaf_blocks(page: str) -> list[Block]:
-    """The page's blocks of text in order, each with the (tag, names) it stands in."""
+    """The page's blocks of text in order, each with the element it stands in."""
     blocks: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    root = Element(None, "", ())
+    stack: list[Element] = []
+    opened: collections.Counter[str] = collections.Counter()
     parts: list[str] = []
     linked, at = 0, 0
     ends: dict[str, dict[int, int]] = {}
@@ -121,16 +168,26 @@ def leaf_blocks(page: str) -> list[Block]:
         if parts:
             text = SPACES.sub(" ", html.unescape("".join(parts))).strip()
             if text:
-                blocks.append(Block(text, tuple(stack), linked))
+                blocks.append(Block(text, stack[-1] if stack else root, linked))
             parts.clear()
         linked = 0
 
+    def push(tag: str, names: tuple[str, ...]) -> None:
+        stack.append(Element(stack[-1] if stack else root, tag, names))
+        opened[tag] += 1
+
+    def cut(size: int) -> None:
+        opened.subtract(element.tag for element in stack[size:])
+        del stack[size:]
+
     def close(kinds: tuple[str, ...], until: frozenset = frozenset()) -> None:
+        if not any(opened[kind] for kind in kinds):
+            return
         for k in range(len(stack) - 1, -1, -1):
-            if stack[k][0] in kinds:
-                del stack[k:]
+            if stack[k].tag in kinds:
+                cut(k)
                 return
-            if stack[k][0] in until:
+            if stack[k].tag in until:
                 return
 
     def add(text: str) -> None:
@@ -138,14 +195,14 @@ def leaf_blocks(page: str) -> list[Block]:
         if hidden:
             return
         parts.append(text)
-        if any(tag == "a" for tag, _ in stack):
+        if stack and stack[-1].linked:
             linked += len(text)
 
     def skip(tag: str) -> None:
         nonlocal hidden
         hidden = hidden or (len(stack), tag)
         # No name that other tags look for.
-        stack.append(("head" if tag == "head" else "skipped", ()))
+        push("head" if tag == "head" else "skipped", ())
 
     while m := TAG.search(page, at):
         if m.start() > at:
@@ -164,7 +221,7 @@ def leaf_blocks(page: str) -> list[Block]:
             continue
         name = m["name"].lower()
         if hidden and not m["end"] and ends_hidden(hidden[1], name):
-            del stack[hidden[0] :]
+            cut(hidden[0])
             hidden = None
         if name in BLOCK_TAGS:
             flush()
@@ -178,7 +235,7 @@ def leaf_blocks(page: str) -> list[Block]:
             if name == "head":
                 skip(name)
             elif name not in VOID_TAGS:
-                stack.append((name, names_in(m["rest"])))
+                push(name, names_in(m["rest"]))
         if hidden and len(stack) <= hidden[0]:
             hidden = None
     if at < len(page):
@@ -196,33 +253,35 @@ def ends_hidden(tag: str, name: str) -> bool:
     return name in BLOCK_TAGS and name != "title"
 
 
-def declared(block: Block) -> int | None:
-    """1 for main text, 0 for others, None if the markup does not say; the innermost word counts.
+def masked(element: Element, gone: Callable[[Element], bool]) -> tuple[tuple, frozenset]:
+    """What is seen around a block where the marks of some elements are gone."""
+    path = []
+    while element.parent is not None:
+        path.append(element)
+        element = element.parent
+    near, seen = (), frozenset()
+    for element in reversed(path):
+        near, seen = seen_marks(() if gone(element) else element.marks, near, seen)
+    return near, seen
 
-    A header within an article belongs to the article.
-    """
-    said = None
-    for tag, names in block.tags:
-        if tag in MAIN_TAGS:
-            said = 1
-        elif tag in ASIDE_TAGS and not (tag == "header" and said):
-            said = 0
-        elif tag not in ("html", "body") and ASIDE_WORDS.intersection(names):
-            said = 0
-    return said
-
-
-def features(block: Block) -> list[str]:
-    names = {w for tag, ws in block.tags if tag not in ("html", "body") for w in ws}
-    # Lists say nothing: menus have them, and so have articles.
-    inner = next((t for t, _ in reversed(block.tags) if t in BLOCK_TAGS - LISTS), "")
-    size = len(block.text)
+
+_MAIN_MARKS = frozenset(f"<{tag}>" for tag in MAIN_TAGS)
+
+
+def features(block: Block, near: tuple, seen: frozenset, page_has_main: bool, named: bool = True) -> list[str]:
+    """Single marks around the block, and its looks; which label they stand for is learned."""
+    element, text = block.element, block.text
+    size = len(text)
+    inner = element.inner if f"<{element.inner}>" not in element.marks else ""
     found = ["all", f"inner:{inner}", f"size:{min(size, 4000).bit_length()}"]
-    found += [f"named:{w}" for w in sorted(names & MAIN_WORDS)]
-    found.append(f"declared:{declared(block)}")
+    found += [f"near:{mark}" for mark in near] + [f"in:{mark}" for mark in sorted(seen)]
+    found.append("main:" + ("in" if seen & _MAIN_MARKS else "out" if page_has_main else "none"))
+    if named:
+        found += [f"named:{w}" for w in sorted(element.named)]
     found.append(f"links:{4 * min(block.links, size) // max(size, 1)}")
-    found.append(f"ends:{block.text[-1] in '.!?:;…'}")
-    if "©" in block.text[:40]:
+    found.append(f"ends:{text[-1] in '.!?:;…'}")
+    found.append(f"sentences:{min(3, sum(text.count(c) for c in '.!?'))}")
+    if "©" in text[:40]:
         found.append("copyright")
     return found
 
@@ -231,41 +290,53 @@ class Extractor:
     """Scores of features and moves; built once on the driver, used in the tasks."""
 
     def __init__(self, pages: list[str], blocks_per_page: int) -> None:
-        kept = []
+        draw = random.Random(7)
+        sequences: list[tuple[list[list[str]], list[int]]] = []
         for page in pages:
             blocks = leaf_blocks(page)[:blocks_per_page]
-            labels = [declared(b) for b in blocks]
-            if any(y is not None for y in labels):
-                # What is not declared beside declared main text is aside.
-                kept.append((blocks, [y or 0 for y in labels]))
+            # What is not declared beside declared main text is aside.
+            labels = [block.element.said or 0 for block in blocks]
+            if not any(labels):
+                continue
+            whole = [(b.element.near, b.element.seen) for b in blocks]
+            sequences.append(([features(b, *views, True) for b, views in zip(blocks, whole)], labels))
+            for share in (0.0, 0.5):
+                lost: dict[int, bool] = {}
+
+                def gone(element: Element) -> bool:
+                    if _MAIN_MARKS.intersection(element.marks):
+                        return True
+                    return lost.setdefault(id(element), draw.random() < share)
+
+                views = [masked(b.element, gone) for b in blocks]
+                sequences.append(([features(b, *v, False, named=False) for b, v in zip(blocks, views)], labels))
         self.ids: dict[str, int] = {}
-        sequences = []
-        for blocks, labels in kept:
-            tokens = [[self.ids.setdefault(f, len(self.ids)) for f in features(b)] for b in blocks]
-            sequences.append((tokens, labels))
-        self.chain = crf.train(sequences, max(1, len(self.ids)), 2, rounds=60)
+        tokens = [([[self.ids.setdefault(f, len(self.ids)) for f in names] for names in page], y) for page, y in sequences]
+        self.chain = crf.train(tokens, max(1, len(self.ids)), 2, rounds=60)
         self.trained = bool(sequences)
 
     def extract(self, page: str | None) -> str:
         blocks = leaf_blocks(page or "")
         if not blocks:
             return ""
-        get = self.ids.get
-        tokens = [[k for k in map(get, features(b)) if k is not None] for b in blocks]
         if self.trained:
+            get = self.ids.get
+            has_main = any(b.element.seen & _MAIN_MARKS for b in blocks)
+            names = (features(b, b.element.near, b.element.seen, has_main) for b in blocks)
+            tokens = [[k for k in map(get, found) if k is not None] for found in names]
             states = crf.viterbi(self.chain.scores(tokens), self.chain.move)
         else:
-            states = [int(declared(b) != 0) for b in blocks]
+            states = [int(b.element.said != 0) for b in blocks]
         return "\n".join(b.text for b, y in zip(blocks, states) if y)
 
 
 def sample_pages(pages: DataFrame, most: int) -> list[str]:
-    """About ``most`` pages by a hash of their ids, in order of the ids."""
-    total = pages.select("page_id").count()
-    place = F.pmod(F.xxhash64(F.lit("pages"), "page_id"), F.lit(2**31))
-    drawn = pages.where(place * total < F.lit(most * 2**31)) if total > most else pages
-    rows = drawn.select("page_id", "html").where(F.col("html").isNotNull()).collect()
-    return [r["html"] for r in sorted(rows, key=lambda r: (str(r["page_id"]), r["html"]))]
+    """About ``most`` different pages, by a hash of the page."""
+    total = pages.select("html").count()
+    bound = min(2**31, most * 2**31 // max(1, total) + 1)
+    place = F.pmod(F.xxhash64(F.lit("pages"), "html"), F.lit(2**31))
+    drawn = pages.where(F.col("html").isNotNull() & (place < F.lit(bound))).select("html").distinct()
+    return sorted(r["html"] for r in drawn.collect())
 
 
 def extract_text(pages: DataFrame, most: int = 400, blocks_per_page: int = 64) -> DataFrame:
@@ -275,7 +346,7 @@ def extract_text(pages: DataFrame, most: int = 400, blocks_per_page: int = 64) -
     reads every page whole. The main blocks come in page order, joined by line feeds, with
     character references decoded and white space turned into single spaces. A null or
     empty page, or one without main text, gives an empty text. If no page of the sample
-    declares anything, blocks are kept unless their markup speaks against them.
+    declares main text, blocks are kept unless their markup speaks against them.
     Broken markup is read as far as it goes: a head without an end tag ends where a start tag
     does not belong to it, an element that is no text (a script, a drawing) at the end of the
     block around it, or where a block starts that it cannot hold. Repeated rows give equal results.
