@@ -41,7 +41,10 @@ def test_gaps_equal_the_whole_chain():
     model = toxicity.Model(texts, 0.95, 32, 500)
     text = "calm calm nasty one two three nasty four"
     words = text.split()
-    scores = np.array([model.plain if model.word_score(w) is None else model.word_score(w) for w in words])
+    count, tokens = model.tokens(text)
+    ids = {k: features for k, _, _, features in tokens}
+    assert count == len(words)
+    scores = np.array([model.chain.emit[ids.get(k, [0])].sum(axis=0) for k in range(count)])
     ahead, behind = crf._sums(scores[None], model.chain.move, np.ones((1, len(words)), bool))
     both = np.exp(ahead + behind)[0]
     found = dict(model.read(text))
@@ -56,11 +59,42 @@ def test_toxicity(spark, edges, few_labels, no_docs):
     assert all((r.score >= 0.7) == bool(r.predicted) and 0 <= r.score <= 1 for r in rows)
     assert sum(r.predicted == r.toxic for r in rows) >= 0.93 * len(rows)
     assert sum(r.predicted and not r.toxic for r in rows) <= 2
+    # The field is more than a list: held out it makes fewer errors than a lookup of its markers.
+    usable = labels.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 != 1)
+    names = toxicity.markers(toxicity.labelled_sample(docs, usable, "toxic", {1: 2000, 0: 10_000}), 0.95)
+    texts = {r.doc_id: set(toxicity.WORD.findall((r.text or "").lower())) for r in docs.collect()}
+    listed = {i: any(f in names for w in ws for f in toxicity.beginnings(w)) for i, ws in texts.items()}
+    errors = [sum(bool(r.predicted) != bool(r.toxic) for r in rows), sum(listed[r.doc_id] != bool(r.toxic) for r in rows)]
+    assert errors[0] < errors[1], errors
     rows = toxicity.score_toxicity(edges.withColumn("score", F.lit("x")), few_labels).collect()
     assert len(rows) == edges.count() and len({r.score for r in rows if not r.n_toxic}) == 1
     assert toxicity.score_toxicity(no_docs, few_labels).count() == 0
 
 
+def test_toxicity_depends_on_the_surroundings():
+    """One word, toxic within a sentence and a name where it begins one: no list tells them apart."""
+    random.seed(33)
+    some = lambda n: " ".join(f"w{random.randrange(400)}" for _ in range(n))
+    texts = []
+    for k in range(200):
+        texts.append((f"So {some(8)} {['vexor', 'grimble'][k % 2]} {some(8)}. So {some(6)} vexor {some(3)}.", 1))
+        for word in ("And", "Then", "Grimble" if k % 3 == 0 else "But"):
+            texts.append((f"So {some(8)}. {word} {some(8)}. So {some(6)}.", 0))
+    model = toxicity.Model(texts, 0.95, 32, 2000)
+    assert "grimble" not in toxicity.markers(texts, 0.95)
+    within = [model.score(model.read(f"So {some(9)} grimble {some(9)}.")) for _ in range(20)]
+    begins = [model.score(model.read(f"So {some(9)}. Grimble {some(9)}.")) for _ in range(20)]
+    assert min(within) > max(begins)
+
+
+def test_toxic_offsets_count_code_points_of_the_text(spark):
+    texts = [(f"w{k} v{k} nasty u{k} t{k}.", 1) for k in range(80)] + [(f"w{k} v{k} calm u{k}.", 0) for k in range(80)]
+    docs = spark.createDataFrame([(10 + k, t) for k, (t, _) in enumerate(texts)] + [(1, "İİ İstanbul is nasty today"), (2, "😀 a nasty")], "doc_id long, text string")
+    labels = spark.createDataFrame([(10 + k, y) for k, (_, y) in enumerate(texts)], "doc_id long, toxic int")
+    offsets = {r.doc_id: r.offsets for r in toxicity.score_toxicity(docs, labels).collect()}
+    assert (offsets[1], offsets[2]) == ("15:20", "4:9")
+
+
 def test_frequent_toxic_words_stay_markers():
     """1000 contexts in toxic texts beside 30 plain places: 0.971 are toxic."""
     texts = [(f"a{k} b{k} nasty c{k} d{k}", 1) for k in range(1000)]

@@ -1,10 +1,14 @@
 """Toxic spans and documents (operator 3).
 
 A conditional random field with the states "plain" and "toxic" reads the words of a
-text. Labels exist for documents only, so the tokens of the training sample are
-labelled first: a word or a beginning of words that stands in many different contexts
-within toxic documents, and hardly ever elsewhere, marks its tokens there. (Counting
-contexts, not places, keeps words out that only a group of copies has.)
+text: the word and its beginnings, how it is written, what ends before it and begins
+behind it. Labels exist for documents only, so training labels the tokens itself, in
+turns. At first a word or a beginning that stands in many different contexts within
+toxic documents, and hardly ever elsewhere, marks its tokens there. (Counting contexts,
+not places, keeps words out that only a group of copies has.) The field learned from
+these then labels the tokens of the toxic documents anew, by all features together, and
+one in each toxic document at least, if any is likely; tokens of other documents stay
+plain. So a word that is toxic in some surroundings only is weighed with them.
 Forward-backward gives each token's probability; the document's score combines the
 largest and the sum of them, calibrated on the labels.
 
@@ -28,7 +32,11 @@ from tripflow.llm.common import labelled_sample, read_table, remainder
 
 WORD = re.compile(r"\w+")
 #: Lengths of the beginnings of words that are features, besides whole words.
-BEGINNINGS = (4, 5, 6)
+BEGINNINGS = (4, 5, 6, 7, 8)
+#: A small letter where a sentence should begin.
+ODD = re.compile(r"[.!?]\s+[a-zß-öø-ÿ]")
+#: How a looked-at word is written and what surrounds it.
+SHAPES = ("small", "capital", "shouted", "begins", "within", "odd", "before-capital", "before-end", "lone")
 SCHEMA = (
     "doc_id long, held_out boolean, score double, predicted int, n_toxic long, offsets string"
 )
@@ -76,64 +84,134 @@ def markers(texts: list[tuple[str, int]], purity: float, chance: float = 0.01) -
     return found
 
 
+def shapes(text: str, before: re.Match | None, word: re.Match, behind: re.Match | None) -> list[str]:
+    """The shape features of a word between its neighbours."""
+    found = ["shouted" if len(word[0]) > 1 and word[0].isupper() else "capital" if word[0][0].isupper() else "small"]
+    gap = text[before.end() : word.start()] if before else "."
+    begins = any(c in gap for c in ".!?")
+    found.append("odd" if begins and word[0][0].islower() else "begins" if begins else "within")
+    rest = text[word.end() : behind.start()] if behind else "."
+    ends = any(c in rest for c in ".!?")
+    if ends:
+        found.append("before-end")
+    elif behind and behind[0][0].isupper():
+        found.append("before-capital")
+    if begins and ends:
+        found.append("lone")
+    return found
+
+
 class Model:
     """What scoring needs: scores by feature, the chain, and the calibration."""
 
     def __init__(
-        self, texts: list[tuple[str, int]], purity: float, piece: int, pieces: int
+        self,
+        texts: list[tuple[str, int]],
+        purity: float,
+        piece: int,
+        pieces: int,
+        least_purity: float = 0.5,
+        turns: int = 2,
+        plain_every: int = 8,
+        penalty: float = 1.0,
     ) -> None:
-        names = sorted(markers(texts, purity))
-        self.ids = {name: k + 1 for k, name in enumerate(names)}
+        sure = markers(texts, purity)
+        names = sorted(sure | markers(texts, least_purity))
+        self.ids = {name: k for k, name in enumerate(["", *SHAPES, *names])}
+        self.words: dict[str, list[int]] = {}
+        read = [self.tokens(text) for text, _ in texts]
+        first = {self.ids[name] for name in sure}
+        toxic = [{k for k, _, _, ids in found if label and first.intersection(ids)} for (_, label), (_, found) in zip(texts, read)]
+        for turn in range(turns):
+            # What only serves to label again needs no more than a part.
+            share = pieces if turn + 1 == turns else pieces // 4
+            self.fit(read, toxic, piece, share, plain_every, penalty)
+            if turn + 1 < turns:
+                toxic = [self.relabelled(*found) if label else set() for (_, label), found in zip(texts, read)]
+        rows = np.array([self.evidence(self.marginals(*found)) for found in read]).reshape(-1, 2)
+        labels = np.array([label for _, label in texts], float)
+        self.weights = crf.logistic(rows, labels) if len(texts) else np.zeros(3)
+
+    def fit(self, read: list, toxic: list[set[int]], piece: int, pieces: int, plain_every: int, penalty: float) -> None:
+        """The field of the tokens so labelled, from stretches of ``piece`` words.
+
+        Stretches without any feature are alike: one of ``plain_every`` is enough.
+        """
         sequences = []
-        for text, label in texts:
-            tokens = [[0, *self.features(w)] for w in WORD.findall(text.lower())]
-            marked = [int(bool(label) and len(ids) > 1) for ids in tokens]
-            for at in range(0, len(tokens), piece):
-                # Stretches without any feature are alike: every eighth of them is enough.
-                if any(len(ids) > 1 for ids in tokens[at : at + piece]) or (at // piece) % 8 == 0:
-                    sequences.append((tokens[at : at + piece], marked[at : at + piece]))
-        step = max(1, len(sequences) // pieces)
-        self.chain = crf.train(sequences[::step][:pieces], len(names) + 1, 2, rounds=50)
+        for (count, found), marked in zip(read, toxic):
+            ids = {k: features for k, _, _, features in found}
+            featured = {k // piece for k in ids}
+            for number in range(-(-count // piece)):
+                if number in featured or number % plain_every == 0:
+                    places = range(number * piece, min(count, (number + 1) * piece))
+                    sequences.append(([ids.get(k, [0]) for k in places], [int(k in marked) for k in places]))
+        # Stretches with a toxic token all count, the others in even steps.
+        some = [s for s in sequences if any(s[1])][:pieces]
+        rest = [s for s in sequences if not any(s[1])]
+        step = max(1, -(-len(rest) // max(1, pieces - len(some))))
+        self.chain = crf.train(some + rest[::step], len(self.ids), 2, rounds=50, penalty=penalty)
         self.plain = self.chain.emit[0]
         step = np.exp(self.chain.move + self.plain[None, :])
         self.powers = [np.eye(2)]
         for _ in range(256):
             power = self.powers[-1] @ step
             self.powers.append(power / power.sum())
-        self.cache: dict[str, float | None] = {}
-        rows = np.array([self.evidence(self.read(text)) for text, _ in texts]).reshape(-1, 2)
-        labels = np.array([label for _, label in texts], float)
-        self.weights = crf.logistic(rows, labels) if len(texts) else np.zeros(3)
 
-    def features(self, word: str) -> list[int]:
-        return [self.ids[f] for f in beginnings(word) if f in self.ids]
-
-    def word_score(self, word: str) -> np.ndarray | None:
-        """Scores by state, None for a word without features; remembered by word."""
+    def relabelled(self, count: int, found: list) -> set[int]:
+        """The tokens of a toxic document that the field holds for toxic, one of them if it can."""
+        chances = self.marginals(count, found)
+        likely = {k for k, p in chances if p >= 0.5}
+        if not likely and chances:
+            k, p = max(chances, key=lambda c: c[1])
+            return {k} if p >= 0.1 else set()
+        return likely
+
+    def word_ids(self, word: str) -> list[int]:
+        """The lexical features of a word, remembered by word."""
         try:
-            return self.cache[word]
+            return self.words[word]
         except KeyError:
-            if len(self.cache) > 500_000:
-                self.cache.clear()
-            ids = self.features(word)
-            found = self.plain + self.chain.emit[ids].sum(axis=0) if ids else None
-            self.cache[word] = found
+            if len(self.words) > 500_000:
+                self.words.clear()
+            found = [self.ids[f] for f in beginnings(word.lower()) if f in self.ids]
+            self.words[word] = found
             return found
 
+    def tokens(self, text: str | None) -> tuple[int, list[tuple[int, int, int, list[int]]]]:
+        """The number of words, and (place, start, end, features) of each that is looked at.
+
+        That is one with a lexical feature or an odd beginning; the others are plain.
+        """
+        text = text or ""
+        words = WORD.findall(text)
+        get = self.word_ids
+        known = {w for w in set(words) if get(w)}
+        if not known and not ODD.search(text):
+            return len(words), []
+        at = list(WORD.finditer(text))
+        odd = {m.end() - 1 for m in ODD.finditer(text)}
+        found = []
+        for k, m in enumerate(at):
+            if m[0] in known or m.start() in odd:
+                around = shapes(text, at[k - 1] if k else None, m, at[k + 1] if k + 1 < len(at) else None)
+                found.append((k, m.start(), m.end(), [0, *get(m[0]), *(self.ids[name] for name in around)]))
+        return len(at), found
+
     def gap(self, words: int) -> np.ndarray:
         """From before so many plain words to behind them; beyond the table it no longer changes."""
         return self.powers[min(words, len(self.powers) - 1)]
 
     def read(self, text: str | None) -> list[tuple[int, float]]:
-        """(place among the words, P(toxic)) of each word that has features."""
-        words = WORD.findall((text or "").lower())
-        get = self.word_score
-        known = {w for w in set(words) if get(w) is not None}
-        if not known:
+        """(place among the words, P(toxic)) of each word that is looked at."""
+        return self.marginals(*self.tokens(text))
+
+    def marginals(self, count: int, found: list) -> list[tuple[int, float]]:
+        """Forward-backward over all ``count`` words."""
+        if not found:
             return []
-        at = [k for k, w in enumerate(words) if w in known]
+        at = [k for k, _, _, _ in found]
         move = np.exp(self.chain.move)
-        emits = [np.exp(get(words[k])) for k in at]
+        emits = [np.exp(self.chain.emit[ids].sum(axis=0)) for _, _, _, ids in found]
         ahead, vector = [], np.ones(2)
         for n, k in enumerate(at):
             if n == 0:
@@ -144,7 +222,7 @@ class Model:
             vector = vector * emits[n]
             vector = vector / vector.sum()
             ahead.append(vector)
-        behind, vector = [], self.gap(len(words) - 1 - at[-1]) @ np.ones(2)
+        behind, vector = [], self.gap(count - 1 - at[-1]) @ np.ones(2)
         for n in range(len(at) - 1, -1, -1):
             behind.append(vector / vector.sum())
             if n:
@@ -163,18 +241,6 @@ class Model:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, w[0] * top + w[1] * many + w[2]))))
 
 
-def offsets(text: str, found: list[tuple[int, float]], least: float) -> list[str]:
-    """start:end (code points) of the words whose probability reaches ``least``."""
-    places = {k for k, p in found if p >= least}
-    if not places:
-        return []
-    # Lower case may change lengths ("İ"): places are counted in the text as it is.
-    words = list(WORD.finditer(text))
-    if len(words) <= max(places):
-        return []
-    return [f"{words[k].start()}:{words[k].end()}" for k in sorted(places)]
-
-
 def score_toxicity(
     docs: DataFrame,
     labels: DataFrame,
@@ -189,10 +255,12 @@ def score_toxicity(
 
     ``docs`` needs doc_id and text, ``labels`` doc_id and toxic (1 or 0). Learns from at
     about ``per_label`` toxic documents and ``plain_per_toxic`` times as many others, none
-    with crc32(doc_id) mod 3 = 1, and on ``pieces`` stretches of ``piece`` words of them; the score uses the text alone. Null and empty texts get the
-    score of a text without any toxic word. Without both labels to learn from, every
-    score is 0. ``offsets`` lists start:end of the words that are toxic with a
-    probability of one half or more; ``n_toxic`` counts them. Repeated rows get equal results.
+    with crc32(doc_id) mod 3 = 1, and on about ``pieces`` stretches of ``piece`` words of them,
+    of those without any feature every eighth; the score uses the text alone. Null and
+    empty texts get the score of a text without any toxic word. Without both labels to
+    learn from, every score is 0. ``offsets`` lists start:end (code points) of the words
+    that are toxic with a probability of one half or more; ``n_toxic`` counts them.
+    Repeated rows get equal results.
     """
     usable = labels.where(remainder("doc_id", 3) != 1)
     texts = labelled_sample(docs, usable, "toxic", {1: per_label, 0: plain_per_toxic * per_label})
@@ -202,9 +270,10 @@ def score_toxicity(
         for batch in batches:
             scores, places = [], []
             for text in batch.column(2).to_pylist():
-                found = model.read(text) if model else []
+                count, tokens = model.tokens(text) if model else (0, [])
+                found = model.marginals(count, tokens) if model else []
                 scores.append(model.score(found) if model else 0.0)
-                places.append(offsets(text, found, 0.5) if found else [])
+                places.append([f"{start}:{end}" for (_, start, end, _), (_, p) in zip(tokens, found) if p >= 0.5])
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
