@@ -120,6 +120,20 @@ def test_quality_model(spark, edges, few_labels, no_docs):
     assert quality_model.score_quality(no_docs, few_labels).count() == 0
 
 
+def test_repeated_unlabelled_rows_are_drawn_once(spark, few_labels):
+    rows = [(7, "again and again", "en", "a")] * 2000 + [(k, f"text {k} of some words", "en", "b") for k in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    assert quality_model.score_quality(docs, few_labels).count() == len(rows)
+
+
+def test_numbers_are_no_letters(spark):
+    odd = spark.createDataFrame([(1, "½ 3 ² ① 12"), (2, "a ½")], "doc_id long, text string")
+    known = [(10 + k, f"these are words of a text number {k}") for k in range(40)]
+    docs = odd.union(spark.createDataFrame(known, odd.schema)).withColumn("lang", F.lit("en"))
+    found = {r.doc_id: r.lang_pred for r in lang_id.identify(docs).collect()}
+    assert found[1] == "und" and found[2] != "und"
+
+
 def test_language(spark, edges, no_docs):
     docs = spark.read.parquet(f"{TESTDATA}/documents.parquet")
     rows = lang_id.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()

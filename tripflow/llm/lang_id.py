@@ -21,13 +21,17 @@ from pyspark.sql import functions as F
 
 from tripflow.llm.common import read_table, remainder
 
-LETTER = re.compile(r"[^\W\d_]")
 OTHERS = re.compile(r"[\W\d_]+")
 SCHEMA = (
     "doc_id long, held_out boolean, lang_pred string, score double, accepted boolean, margin double"
 )
 
 
+def has_letter(text: str) -> bool:
+    """Whether a character is a letter; fractions and circled or raised numbers are none."""
+    return any(map(str.isalpha, text))
+
+
 def sample(docs: DataFrame, per_lang: int) -> dict[str, list[str]]:
     """At most ``per_lang`` whole texts of each language, by lowest hash of the id.
 
@@ -58,7 +62,7 @@ def sample(docs: DataFrame, per_lang: int) -> dict[str, list[str]]:
     order = sorted(counts, key=lambda x: (-counts[x], x))
     chosen: dict[str, list[str]] = {lang: [] for lang in order}
     for row in sorted(rows, key=lambda r: (r["place"], r["text"])):
-        if len(chosen[row["lang"]]) < per_lang and LETTER.search(row["text"]):
+        if len(chosen[row["lang"]]) < per_lang and has_letter(row["text"]):
             chosen[row["lang"]].append(row["text"])
     return {lang: texts for lang, texts in chosen.items() if texts}
 
@@ -136,7 +140,7 @@ class Languages:
         return [sum(len(c.compress(p)) for p in pieces) for c in self.by_name]
 
     def predict(self, text: str | None, narrow: float) -> tuple[str, float, bool, float]:
-        if not text or not LETTER.search(text) or not self.names:
+        if not text or not has_letter(text) or not self.names:
             return "und", 0.0, False, 0.0
         sizes = self.sizes(text)
         order = sorted(range(len(sizes)), key=lambda k: (sizes[k], k))

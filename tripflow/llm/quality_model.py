@@ -151,10 +151,11 @@ def score_quality(
     """
     wanted = {0: per_label, 1: per_label}
     known = labelled_sample_rows(docs, labels, "quality", wanted, ["lang", "source"])
-    rest = docs.join(labels.select("doc_id"), "doc_id", "left_anti").select("doc_id").withColumn("y", F.lit(1))
+    rest = docs.join(labels.select("doc_id"), "doc_id", "left_anti").select("doc_id").distinct()
+    rest = rest.withColumn("y", F.lit(1))
     drawn = docs.join(F.broadcast(sample_by_hash(rest, "y", {1: unlabelled}).select("doc_id")), "doc_id")
-    others = drawn.select("text", "lang", "source").where(F.col("text").isNotNull()).collect()
-    others = sorted({tuple(r) for r in others}, key=repr)
+    others = drawn.select("text", "lang", "source").where(F.col("text").isNotNull()).distinct().collect()
+    others = sorted(map(tuple, others), key=repr)
     model = None
     if {r[1] for r in known} == {0, 1}:
         model = CoTraining(
