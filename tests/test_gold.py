@@ -180,3 +180,14 @@ def test_no_trip_is_lost_or_counted_twice(trips, rows):
     expected = sum(round(row[16] * 1000) for row in rows) / 1000
     found = hourly.agg(F.sum("total_revenue")).first()[0]
     assert math.isclose(found, expected, rel_tol=1e-12)
+
+
+def test_gold_input_as_a_table(spark, trips):
+    silver_rows = clean_trips(trips(trip(), trip()))
+    assert gold.gold_input_report(silver_rows).count() == 0
+    bare = silver_rows.drop("VendorID", "speed_mph").where("fare_amount < 0")
+    assert sorted(tuple(r) for r in gold.gold_input_report(bare).collect()) == [
+        ("error", "column VendorID is missing", 0),
+        ("error", "silver data is empty", 0),
+        ("warning", "column speed_mph will be derived", 0),
+    ]

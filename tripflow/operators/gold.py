@@ -198,9 +198,14 @@ def check_gold_input(silver: DataFrame | None) -> list[InputIssue]:
 
 def gold_input_report(silver: DataFrame) -> DataFrame:
     """The issues as a table, each with the rows it concerns; no rows if there is nothing to say."""
-    issues = [(issue.severity, issue.message) for issue in check_gold_input(silver)]
-    found = silver.sparkSession.createDataFrame(issues, "severity string, message string")
-    return found.crossJoin(silver.agg(F.count(F.lit(1)).alias("silver_rows")))
+    issues = F.array(
+        *[
+            F.struct(F.lit(issue.severity).alias("severity"), F.lit(issue.message).alias("message"))
+            for issue in check_gold_input(silver)
+        ]
+    ).cast("array<struct<severity: string, message: string>>")
+    counted = silver.agg(F.count(F.lit(1)).alias("silver_rows"))
+    return counted.select(F.inline(issues), "silver_rows")
 
 
 def fill_missing_features(silver: DataFrame) -> DataFrame:
