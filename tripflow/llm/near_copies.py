@@ -3,23 +3,29 @@
 The distance 1 - J between shingle sets is a metric. The join works with pivots, as
 metric joins do, in three steps.
 
-1. *Classes.* Documents with equal sets are one class, by a 128-bit digest.
+1. *Classes.* Documents with equal sets are one class, by a 128-bit digest; the class is
+   compared as its document of smallest id.
 2. *Regions.* Two linked sets share a shingle among the first |x| - ceil(t|x|) + 1 of
    each, in any common order of shingles (else too few are left to share). So each
-   shingle of these prefixes elects a pivot, the set with the lowest digest among those
+   shingle of these prefixes elects a pivot, the set of smallest id among those
    that have it there, and every set joins the regions of the pivots that its prefix
-   elects: two linked sets always meet in the region of a pivot. A set whose prefix
+   elects: two linked sets always meet in the region of a pivot. Almost all sets are at distance
+   1 from almost all pivots, which tells them apart no better; a set whose prefix
    shingles are all its own meets nobody and is done. The common order puts
    shingles of shared passages last, so that a passage makes no region.
-3. *Windows.* In a region every set knows its distance to the pivot. Within the
-   radius it is linked to it. Two others can be linked only if their distances
-   differ by no more than the radius (triangle inequality): sets are compared within
-   that window. A region too large for one task elects further pivots: sets go to the
-   nearest of them and are replicated to every other that is no more than twice the
-   radius further away; the new regions are joined the same way.
-
-What is linked to one pivot is connected already, so a group of copies costs one
-comparison a member, not one a pair.
+3. *Cells.* A region too large for one task elects pivots among its sets, by hash. Every set
+   learns its distance to each, in as many tasks as the region's size asks for. Sets go
+   to the nearest pivot (Voronoi) and are replicated to every other that is no more
+   than twice the radius further away and where their distance lies in the window of the sets
+   whose home it is (triangle inequality). Cells that are still too large are joined
+   in the same way. Where a cell's sets are about as far from all of its pivots, it
+   elects by prefix shingles again, by how rare they are within the cell.
+4. *Windows.* Within a region or cell, sets are compared whose distances to its first pivot
+   differ by no more than the radius.
+
+What is linked to one pivot is connected already, so of a group of copies only the sets
+outside its largest part go on from cell to cell, and with them those that they may be
+linked to.
 """
 
 from __future__ import annotations
@@ -31,7 +37,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripflow.llm.common import if_small, read_table, stored, text_of
@@ -359,40 +365,42 @@ def with_text(members: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def pivot_distances(n: int, least: int):
-    """A task over rows (region, doc_id, text, pivots): distance to the first pivot, and linked pivots."""
+    """A task over rows (cell, salt, role, doc_id, n, open, part, text), a cell's pivots (role 0) before its sets.
+
+    For each set: the pivots in order of id, its distance to each, and those it is linked to.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, key, pivots = Shingles(n), None, []
         for batch in batches:
-            first, near = [], []
-            regions, texts, sets = (batch.column(k) for k in (0, 2, 3))
-            for k, (region, text) in enumerate(zip(regions.to_pylist(), texts.to_pylist())):
-                if region != key:
-                    key = region
-                    pivots = [(p["id"], shingles.hashes(p["text"])) for p in sets[k].as_py()]
-                    # The one that gave the region its name is the first.
-                    pivots.sort(key=lambda p: (p[0] != region, p[0]))
+            rows = []
+            for cell, salt, role, doc_id, size, is_open, part, text in zip(*(c.to_pylist() for c in batch.columns)):
+                if (cell, salt) != key:
+                    key, pivots = (cell, salt), []
                 mine = shingles.hashes(text)
+                if role == 0:
+                    pivots.append((doc_id, mine))
+                    continue
                 shared = [len(np.intersect1d(mine, p, assume_unique=True)) for _, p in pivots]
-                first.append(1 - shared[0] / (len(mine) + len(pivots[0][1]) - shared[0]))
-                near.append(
-                    [i for (i, p), s in zip(pivots, shared) if linked(s, len(mine), len(p), least)]
-                )
-            yield pa.RecordBatch.from_arrays(
-                [
-                    regions,
-                    batch.column(1),
-                    pa.array(first, pa.float64()),
-                    pa.array(near, pa.list_(pa.int64())),
-                ],
-                names=["region", "doc_id", "first", "near"],
-            )
+                away = [1 - s / (len(mine) + len(p) - s) for (_, p), s in zip(pivots, shared)]
+                near = [i for (i, p), s in zip(pivots, shared) if linked(s, len(mine), len(p), least)]
+                rows.append((cell, doc_id, size, is_open, part, [i for i, _ in pivots], away, near))
+            yield pa.RecordBatch.from_pylist([dict(zip(MEASURED.names, r)) for r in rows], schema=MEASURED)
 
     return run
 
 
-def main_pivots(pairs: pd.DataFrame) -> pd.DataFrame:
-    """Of one region's pivots, those of the part with most sets; rows (region, a, b, n) of pivots linked by n sets."""
+MEASURED = pa.schema(
+    [
+        ("cell", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("open", pa.bool_()), ("part", pa.int64()),
+        ("pivots", pa.list_(pa.int64())), ("away", pa.list_(pa.float64())), ("near", pa.list_(pa.int64())),
+    ]
+)
+CELL = ["cell", "doc_id", "n", "open", "part"]
+
+
+def parts_of(pairs: pd.DataFrame) -> pd.DataFrame:
+    """Of one cell: the part that each pivot and known part belongs to, and the part of most sets."""
     parent: dict[int, int] = {}
 
     def root(x: int) -> int:
@@ -402,67 +410,148 @@ def main_pivots(pairs: pd.DataFrame) -> pd.DataFrame:
         return x
 
     for a, b in zip(pairs["a"], pairs["b"]):
-        parent[max(root(a), root(b))] = min(root(a), root(b))
+        low, high = sorted((root(int(a)), root(int(b))))
+        parent[high] = low
     sizes: dict[int, int] = {}
-    for a, k in zip(pairs["a"], pairs["n"]):
-        sizes[root(a)] = sizes.get(root(a), 0) + int(k)
-    best = max(sizes, key=lambda r: (sizes[r], -r))
-    return pd.DataFrame({"region": [pairs["region"].iloc[0]], "main": [[x for x in parent if root(x) == best]]})
-
-
-def split_regions(
-    members: DataFrame, docs: DataFrame, n: int, least: int, weight: int, pivots: int
-) -> tuple[DataFrame, DataFrame]:
-    """Large regions (region, doc_id, n, sets, weight): links to pivots, and what is left to compare.
-
-    About ``pivots`` sets of a region, by hash, join the one that gave it its name. Sets
-    that hang together through pivots are settled; those of the largest part need no
-    comparison among themselves. Every other set meets all sets whose distance to the
-    first pivot lies in its window: both sides are cut into blocks of ``weight``, and a
-    block of the one meets each block of the other in a task of its own.
+    for a, k in zip(pairs["a"], pairs["sets"]):
+        sizes[root(int(a))] = sizes.get(root(int(a)), 0) + int(k)
+    main = max(sizes, key=lambda r: (sizes[r], -r))
+    nodes = list(parent)
+    return pd.DataFrame({"cell": [pairs["cell"].iloc[0]], "main": [main], "nodes": [nodes], "roots": [list(map(root, nodes))]})
+
+
+def measured_cells(cells: DataFrame, sizes: DataFrame, docs: DataFrame, n: int, least: int, most: tuple, pivots: int) -> DataFrame:
+    """Sets of large cells with their distances to ``pivots`` of the cell's open sets, drawn by hash.
+
+    A cell is dealt to as many tasks as its size asks for; each gets the pivots once.
     """
-    place = F.pmod(F.xxhash64(F.lit("pivot"), "doc_id"), F.lit(2**31))
-    drawn = (F.col("doc_id") == F.col("region")) | (place * F.col("sets") < F.lit(pivots * 2**31))
-    chosen = with_text(members.where(drawn).select("region", "doc_id"), docs)
-    chosen = chosen.groupBy("region").agg(
-        F.collect_list(F.struct(F.col("doc_id").alias("id"), "text")).alias("pivots")
-    )
-    rows = with_text(members.select("region", "doc_id"), docs).join(chosen, "region")
-    rows = rows.select("region", "doc_id", "text", "pivots").mapInArrow(
-        pivot_distances(n, least), "region long, doc_id long, first double, near array<long>"
-    )
-    rows = stored(rows, "pivots")
-    links = rows.select(F.col("doc_id").alias("a"), F.explode("near").alias("b"))
-    together = rows.where(F.size("near") > 0).select(
-        "region", F.array_min("near").alias("a"), F.explode("near").alias("b")
+    weight, most_sets = most
+    salts = F.ceil(F.greatest(F.col("weight") / weight, F.col("sets") / most_sets)).cast("int").alias("salts")
+    dealt = sizes.select("cell", salts)
+    drawn = Window.partitionBy("cell").orderBy(F.xxhash64(F.lit("pivot"), "doc_id"), "doc_id")
+    chosen = cells.where("open").withColumn("rank", F.row_number().over(drawn)).where(F.col("rank") <= pivots)
+    chosen = stored(chosen.join(if_small(dealt), "cell"), "chosen")
+    every = F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")
+    chosen = chosen.select("cell", every, F.lit(0).alias("role"), *CELL[1:])
+    salt = F.pmod(F.xxhash64(F.lit("salt"), "doc_id"), F.col("salts")).cast("int").alias("salt")
+    members = cells.join(if_small(dealt), "cell").select("cell", salt, F.lit(1).alias("role"), *CELL[1:])
+    rows = with_text(stored(chosen.union(members), "dealt"), docs)
+    rows = rows.select("cell", "salt", "role", *CELL[1:], "text")
+    rows = rows.repartition("cell", "salt").sortWithinPartitions("cell", "salt", "role", "doc_id")
+    schema = "cell long, doc_id long, n long, open boolean, part long, pivots array<long>, away array<double>, near array<long>"
+    return stored(rows.mapInArrow(pivot_distances(n, least), schema), "distances")
+
+
+def with_parts(rows: DataFrame) -> DataFrame:
+    """Rows with ``part`` as it is after the links to the pivots, and what is open after them.
+
+    A part is sets known to hang together. A pivot has met all of its cell and is done. A
+    pair needs a set that is open: either those that were, or all outside the cell's
+    largest part, whichever are fewer.
+    """
+    nodes = F.array_compact(F.array_append("near", F.col("part"))).alias("mine")
+    rows = rows.select(*CELL, "pivots", "away", nodes)
+    pairs = rows.where(F.size("mine") > 0).select("cell", F.array_min("mine").alias("a"), F.explode("mine").alias("b"))
+    pairs = pairs.groupBy("cell", "a", "b").agg(F.count("*").alias("sets"))
+    parts = pairs.groupBy("cell").applyInPandas(parts_of, "cell long, main long, nodes array<long>, roots array<long>")
+    # One row a cell, of as many nodes as its line of cells had pivots.
+    rows = rows.join(if_small(stored(parts, "parts"), 20_000), "cell")
+    at = F.array_position("nodes", F.get("mine", F.lit(0))).cast("int")
+    part = F.when(F.size("mine") > 0, F.get("roots", at - 1))
+    rows = rows.withColumn("part", part).where(~F.array_contains("pivots", F.col("doc_id")))
+    outside = F.col("part").isNull() | (F.col("part") != F.col("main"))
+    rows = stored(rows.select(*CELL, "pivots", "away", outside.alias("outside")), "parts")
+    fewer = rows.groupBy("cell").agg(
+        (F.count_if("outside") < F.count_if("open")).alias("swap"),
+        F.least(F.count_if("outside"), F.count_if("open")).alias("left"),
     )
-    together = together.groupBy("region", "a", "b").agg(F.count("*").alias("n"))
-    main = together.groupBy("region").applyInPandas(main_pivots, "region long, main array<long>")
-    rows = rows.join(main, "region", "left").join(members.select("region", "doc_id", "n"), ["region", "doc_id"])
-    settled = F.coalesce(F.arrays_overlap("near", "main"), F.lit(False))
-    rows = stored(rows.select("region", "doc_id", "n", "first", settled.alias("settled")), "settled")
+    rows = rows.join(if_small(stored(fewer.where("left > 0"), "left")), "cell")
+    return rows.withColumn("open", F.when(F.col("swap"), F.col("outside")).otherwise(F.col("open")))
+
+
+def nearest_cells(rows: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
+    """Voronoi cells of the pivots, and the sets of cells that pivots do not tell apart.
+
+    A set's home is its nearest pivot. It is replicated to every other that is no more than
+    twice the radius further away: an open set finds all its partners at its home. Of
+    these stay those whose distance to the pivot is within the radius of an open one's.
+    Where sets would go to half of all pivots and more, the cell is left as it is.
+    """
     radius = 1 - least / 100 + 1e-9
-    open_ = ~F.col("settled")
-    spans = rows.groupBy("region").agg(
-        F.min(F.when(open_, F.col("first"))).alias("low"),
-        F.max(F.when(open_, F.col("first"))).alias("high"),
-        F.sum(F.when(open_, F.col("n"))).alias("open_weight"),
-        F.sum("n").alias("weight"),
-    )
-    spans = spans.where(F.col("low").isNotNull())
-    rows = rows.join(spans, "region").where(F.col("first").between(F.col("low") - radius, F.col("high") + radius))
-    blocks = {c: F.ceil(F.col(c) / weight).cast("int") for c in ("open_weight", "weight")}
-
-    def block(count: Column) -> Column:
-        return F.pmod(F.xxhash64(F.lit("block"), "doc_id"), count).cast("int")
-
-    every = F.sequence(F.lit(0), blocks["open_weight"] - 1)
-    ours = rows.select("region", F.explode(every).alias("i"), block(blocks["weight"]).alias("j"), "doc_id")
-    every = F.sequence(F.lit(0), blocks["weight"] - 1)
-    theirs = rows.where(open_).select(
-        "region", block(blocks["open_weight"]).alias("i"), F.explode(every).alias("j"), "doc_id"
+    rows = rows.withColumn("home", F.array_min("away"))
+    goes = F.expr(f"filter(sequence(0, size(away) - 1), k -> away[k] <= home + {2 * radius!r})")
+    rows = stored(rows.select(*CELL, "pivots", "away", goes.alias("goes"), "home"), "homes")
+    spread = rows.groupBy("cell").agg((2 * F.sum(F.size("goes")) > F.sum(F.size("pivots"))).alias("alike"))
+    rows = rows.join(if_small(stored(spread, "spread")), "cell")
+    alike = rows.where("alike").select(*CELL)
+    near = rows.where(~F.col("alike")).select(*CELL, "pivots", "away", "home", F.explode("goes").alias("k"))
+    first = F.col("k") == F.array_position("away", F.col("home")) - 1
+    near = near.select(
+        F.xxhash64("cell", F.get("pivots", F.col("k"))).alias("cell"), "doc_id", "n", (F.col("open") & first).alias("open"),
+        "part", F.get("away", F.col("k")).alias("d"),
+    )
+    near = stored(near, "nearest")
+    low, high = (f(F.when(F.col("open"), F.col("d"))) for f in (F.min, F.max))
+    spans = near.groupBy("cell").agg((low - radius).alias("low"), (high + radius).alias("high"))
+    near = near.join(if_small(stored(spans.where("low IS NOT NULL"), "spans")), "cell")
+    return near.where(F.col("d").between(F.col("low"), F.col("high"))).select(*CELL), alike
+
+
+def elected_cells(rows: DataFrame, docs: DataFrame, n: int, least: int) -> DataFrame:
+    """Cells by the prefix shingles of their sets, the rarest of the old cell first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles = Shingles(n)
+        for batch in batches:
+            for row in batch.to_pylist():
+                mine = shingles.hashes(row.pop("text")).view(np.int64)
+                columns = [pa.array([row[c]] * len(mine), schema_of[c]) for c in CELL]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(mine)], names=[*CELL, "shingle"])
+
+    schema_of = {f.name: f.type for f in MEASURED}
+    postings = with_text(rows, docs).select(*CELL, "text").mapInArrow(
+        run, "cell long, doc_id long, n long, open boolean, part long, shingle long"
     )
-    return links, ours.union(theirs).distinct()
+    postings = stored(postings, "postings")
+    counts = postings.groupBy("cell", "shingle").agg(F.count("*").alias("often")).where("often > 1")
+    postings = postings.join(stored(counts, "counts"), ["cell", "shingle"], "left")
+    order = Window.partitionBy("cell", "doc_id").orderBy(F.coalesce("often", F.lit(1)), "shingle")
+    need = F.col("n") - F.ceil(F.lit(least) * F.col("n") / 100) + 1
+    postings = postings.withColumn("rank", F.row_number().over(order))
+    postings = postings.where((F.col("rank") <= need) & F.col("often").isNotNull())
+    return postings.select(F.xxhash64("cell", "shingle").alias("cell"), *CELL[1:])
+
+
+def split_cells(
+    cells: DataFrame, docs: DataFrame, n: int, least: int, weight: int, most_sets: int, pivots: int, levels: int
+) -> tuple[list[DataFrame], list[DataFrame]]:
+    """Links (a, b) to pivots, and cells (cell, doc_id) small enough for a task each.
+
+    ``cells``: (cell, doc_id, n, open, part). Of a cell, the pairs with an open set are to be
+    found. A large cell is split by pivots of its own, and the new cells in the same way.
+    Every level takes its pivots out, so it ends; what is still large after ``levels``
+    is left as it is, one task a cell.
+    """
+    links, tasks = [], []
+    for level in range(levels + 1):
+        sizes = cells.groupBy("cell").agg(
+            F.sum("n").alias("weight"), F.count("*").alias("sets"), F.count_if("open").alias("opens")
+        )
+        sizes = stored(sizes.where("opens > 0 AND sets > 1"), "sizes")
+        is_large = (F.col("weight") > weight) | (F.col("sets") > most_sets)
+        large = sizes.where(is_large & F.lit(level < levels))
+        small = sizes.where(~is_large | F.lit(level == levels))
+        tasks.append(cells.join(if_small(small.select("cell")), "cell").select("cell", "doc_id"))
+        if not large.limit(1).count():
+            break
+        inside = cells.join(if_small(large.select("cell")), "cell").select(*CELL)
+        rows = measured_cells(inside, large, docs, n, least, (weight, most_sets), pivots)
+        links.append(rows.select(F.col("doc_id").alias("a"), F.explode("near").alias("b")))
+        near, alike = nearest_cells(with_parts(rows), least)
+        if alike.limit(1).count():
+            near = near.union(elected_cells(alike, docs, n, least))
+        cells = stored(near, "cells")
+    return links, tasks
 
 
 def jaccard_join(
@@ -470,8 +559,9 @@ def jaccard_join(
     n: int = 4,
     least: int = 85,
     weight: int = 4_000_000,
-    most_sets: int = 4096,
-    pivots: int = 16,
+    most_sets: int = 512,
+    pivots: int = 8,
+    levels: int = 12,
     often: int = 2,
     bits: int = 23,
 ) -> DataFrame:
@@ -487,7 +577,7 @@ def jaccard_join(
     that two sets seem to share.
 
     ``weight``, ``most_sets``: shingles and sets that a region may have to be one task's
-    work; larger regions are split.
+    work; larger regions are split by ``pivots`` of their own, up to ``levels`` times.
     ``often``, ``bits``: see shared_slots().
     """
     late = shared_slots(docs, n, often, bits)
@@ -504,24 +594,29 @@ def jaccard_join(
     sizes = reps.groupBy("doc_id").agg(F.max("n_shingles").alias("n"))
     members = stored(members.join(sizes, "doc_id").select("region", "doc_id", "n"), "regions")
     weights = members.groupBy("region").agg(F.sum("n").alias("weight"), F.count("*").alias("sets"))
+    # A table, so that adaptive execution can split the joins at a region of very many sets.
+    weights = stored(weights, "weights")
     is_large = (F.col("weight") > weight) | (F.col("sets") > most_sets)
-    large = weights.where(is_large)
-    small = members.join(weights.where(~is_large), "region").select("region", "doc_id", "n")
+    large = weights.where(is_large).select("region")
+    small = members.join(if_small(weights.where(~is_large).select("region")), "region")
     small = small.join(reps.select("doc_id", "bins"), "doc_id").select("region", "doc_id", "n", "bins")
     small = small.repartition("region").sortWithinPartitions("region", "doc_id")
     small = stored(small.mapInArrow(possible(least), "region long, doc_id long, n long"), "possible")
-    tasks = small.select("region", F.lit(0).alias("i"), F.lit(0).alias("j"), "doc_id")
-    links = None
+    tasks = small.select(F.xxhash64("region").alias("task"), "doc_id")
+    links = []
     if large.limit(1).count():
-        links, rest = split_regions(stored(members.join(large, "region"), "large"), docs, n, least, weight, pivots)
-        tasks = tasks.union(rest)
-    keyed = tasks.select(F.xxhash64("region", "i", "j").alias("task"), "doc_id")
-    ready = with_text(keyed, docs).select("task", "doc_id", "text")
+        cells = members.join(if_small(large), "region").select(
+            F.col("region").alias("cell"), "doc_id", "n", F.lit(True).alias("open"), F.lit(None).cast("long").alias("part")
+        )
+        links, rest = split_cells(stored(cells, "large"), docs, n, least, weight, most_sets, pivots, levels)
+        for cell in rest:
+            tasks = tasks.union(cell.select(F.xxhash64(F.lit("cell"), "cell").alias("task"), "doc_id"))
+    ready = with_text(tasks.distinct(), docs).select("task", "doc_id", "text")
     found = (
         ready.repartition("task").sortWithinPartitions("task", "doc_id").mapInArrow(region_links(n, least), "a long, b long")
     )
-    if links is not None:
-        found = found.union(links)
+    for more in links:
+        found = found.union(more)
     parts = connected(found)
     named = classes.join(parts.select(F.col("node").alias("rep"), "component"), "rep", "left")
     named = stored(named.select("digest", F.coalesce("component", "rep").alias("component")), "classes")
