@@ -63,7 +63,7 @@ def copies(spark, edges):
         {"n": 4, "least": 85},
         {"n": 5, "least": 80, "often": 10**9},
         # Regions of more than some sets are split over tasks.
-        {"n": 4, "least": 85, "weight": 400, "most_sets": 6, "pivots": 3, "often": 10**9},
+        {"n": 4, "least": 85, "weight": 400, "most_sets": 6, "pivots": 3, "levels": 2, "often": 10**9},
     ],
 )
 def test_join(spark, edges, settings):

@@ -247,6 +247,35 @@ def test_leaks_cut_by_the_edges_of_documents(spark):
     assert len(expected) == 3 * 3 * 3
 
 
+def test_leaks_of_the_tables(spark):
+    docs = spark.read.parquet(f"{TESTDATA}/documents.parquet")
+    benchmark = spark.read.parquet(f"{TESTDATA}/benchmark.parquet")
+    items = [(r.item_id, r.text) for r in benchmark.collect()]
+    known = {g for _, of in items for g in grams(words(of.lower()))}
+    expected = {}
+    for r in docs.collect():
+        # Windows of a document without any shingle of an item have similarity 0.
+        have = known & set(grams(words((r.text or "").lower())))
+        near = [(i, of) for i, of in items if have & set(grams(words(of.lower())))]
+        expected |= leaks_by_hand([(r.doc_id, r.text)], near)
+    got = {(r.doc_id, r.item_id): r.similarity for r in decontaminate.leaks(docs, benchmark).collect()}
+    assert got == {key: value for key, (value, _) in expected.items()} and got
+
+
+def test_fingerprints_within_the_radius_meet(spark):
+    random.seed(5)
+    rows = []
+    for k in range(600):
+        a = random.getrandbits(64)
+        b = a ^ sum(1 << bit for bit in random.sample(range(64), k % 15))
+        rows.append([x - 2**64 if x >= 2**63 else x for x in (a, b)])
+    table = spark.createDataFrame(rows, "a long, b long")
+    mine, theirs = decontaminate.blocks("a", 5), decontaminate.near_blocks("b", 5, 14)
+    unlike = spark.createDataFrame(zip([r[0] for r in rows], [r[1] for r in rows[1:]]), "a long, b long")
+    assert table.where(F.arrays_overlap(mine, theirs)).count() == 600
+    assert unlike.where(F.arrays_overlap(mine, theirs)).count() < 0.1 * 600
+
+
 def test_mix(edges, no_docs):
     rows = mix_sources.mix_sources(edges.withColumn("size", F.lit("x"))).collect()
     assert len(rows) == edges.count()

@@ -5,9 +5,10 @@ Jaccard similarity of their word shingles (each weighs as often as it occurs). O
 windows that share a shingle with an item can pass, so fingerprints are taken around
 such places only: the window that puts the shared shingle where the item has it,
 and its neighbours, moved into the document where they stick out of it. SimHash fingerprints of these windows are looked up among the
-items' by a multi-index: fingerprints within ``radius`` bits agree in at least one of
-``radius + 1`` blocks of bits (pigeonhole), so equal blocks miss none of them. Each
-pair found is verified exactly.
+items' by a multi-index: of two fingerprints within ``radius`` bits, at least one of ``count``
+blocks differs in no more than radius / count bits (pigeonhole). Each item is listed under all
+blocks so near to its own, so equal blocks miss none of them. With the defaults a block has 12 or 13
+bits, and one of 18 pairs of unlike fingerprints meets. Each pair found is verified exactly.
 
 Words are the unit of fingerprints: one edited word moves one of forty words, but
 five of forty shingles, so near copies stay well within the radius.
@@ -15,6 +16,8 @@ five of forty shingles, so near copies stay well within the radius.
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,21 +47,42 @@ def simhash(words: str) -> Column:
           THEN a | shiftleft(1L, b) ELSE a END)), 0L, (a, x) -> x)""")
 
 
-def blocks(fingerprint: str, radius: int) -> Column:
-    """(number, bits) of the fingerprint's ``radius + 1`` blocks."""
-    count = radius + 1
-    edges = [BITS * k // count for k in range(count + 1)]
+def edges(count: int) -> list[tuple[int, int]]:
+    """(number of the first bit, width) of each of ``count`` blocks."""
+    ends = [BITS * k // count for k in range(count + 1)]
+    return [(a, b - a) for a, b in zip(ends, ends[1:])]
+
+
+def blocks(fingerprint: str, count: int) -> Column:
+    """(number, bits) of the fingerprint's ``count`` blocks."""
     return F.array(
         *[
             F.struct(
                 F.lit(k).alias("number"),
-                F.expr(f"shiftrightunsigned({fingerprint}, {a}) & {2 ** (b - a) - 1}L").alias("bits"),
+                F.expr(f"shiftrightunsigned({fingerprint}, {at}) & {2**width - 1}L").alias("bits"),
             )
-            for k, (a, b) in enumerate(zip(edges, edges[1:]))
+            for k, (at, width) in enumerate(edges(count))
         ]
     )
 
 
+def near_blocks(fingerprint: str, count: int, radius: int) -> Column:
+    """(number, bits) of all blocks that differ from the fingerprint's in radius / count bits or fewer."""
+
+    def flips(width: int) -> list[int]:
+        chosen = (c for most in range(radius // count + 1) for c in combinations(range(width), most))
+        return [sum(1 << bit for bit in c) for c in chosen]
+
+    rows = [
+        F.expr(
+            f"transform(array({', '.join(f'{x}L' for x in flips(width))}), "
+            f"x -> named_struct('number', {k}, 'bits', (shiftrightunsigned({fingerprint}, {at}) & {2**width - 1}L) ^ x))"
+        )
+        for k, (at, width) in enumerate(edges(count))
+    ]
+    return F.concat(*rows)
+
+
 def similarity(a: str, b: str) -> Column:
     """Weighted Jaccard of two arrays of shingles: sum of lesser over sum of greater counts."""
     shared = f"""aggregate(array_intersect({a}, {b}), 0, (s, g) ->
@@ -67,7 +91,7 @@ def similarity(a: str, b: str) -> Column:
         aggregate(array({shared}), 0D, (z, s) -> s / (size({a}) + size({b}) - s))""")
 
 
-def items_of(benchmark: DataFrame, n: int, radius: int) -> DataFrame:
+def items_of(benchmark: DataFrame, n: int) -> DataFrame:
     """(item_id, size, item_shingles, fingerprint) of the items that have words."""
     rows = benchmark.select("item_id", lower_words(text_of("text")).alias("words")).where(F.size("words") > 0)
     rows = rows.select("item_id", "words", F.size("words").alias("size"), shingles("words", n).alias("item_shingles"))
@@ -110,8 +134,9 @@ def leaks(
     benchmark: DataFrame,
     n: int = 5,
     least: float = 0.8,
-    radius: int = 20,
+    radius: int = 14,
     shift: int = 1,
+    count: int = 5,
 ) -> DataFrame:
     """(doc_id, item_id, similarity, start, size): the items that documents contain.
 
@@ -120,8 +145,10 @@ def leaks(
     counts. Words are compared in lower case. Documents and items that are null, empty or
     without an id give no rows; rows with one doc_id are one document, repeated
     items one item. ``shift``: places before and behind an aligned window that are tried too.
+    ``radius``: most bits in which the fingerprints of a window and an item may differ, looked
+    up by ``count`` blocks.
     """
-    items = items_of(benchmark, n, radius).where(F.col("item_id").isNotNull()).dropDuplicates()
+    items = items_of(benchmark, n).where(F.col("item_id").isNotNull()).dropDuplicates()
     items = stored(items, "items")
     docs = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull())
     windows = stored(windows_of(docs, items, n, shift), "windows")
@@ -135,8 +162,8 @@ def leaks(
     rows = stored(rows, "fingerprints")
 
     # Windows and items of one length meet by their blocks.
-    theirs = items.select("item_id", "size", "fingerprint", F.explode(blocks("fingerprint", radius)).alias("block"))
-    mine = rows.select("doc_id", "start", "size", "mine", F.explode(blocks("mine", radius)).alias("block"))
+    theirs = items.select("item_id", "size", "fingerprint", F.explode(near_blocks("fingerprint", count, radius)).alias("block"))
+    mine = rows.select("doc_id", "start", "size", "mine", F.explode(blocks("mine", count)).alias("block"))
     near = mine.join(if_small(theirs), ["size", "block"]).where(
         F.bit_count(F.col("mine").bitwiseXOR(F.col("fingerprint"))) <= radius
     )
