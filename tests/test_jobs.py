@@ -8,9 +8,17 @@ from pyspark.sql import functions as F
 
 from tripflow.operators import quality, reports
 from tripflow.operators.gold import GOLD_TABLES
-from tripflow.plans.batch import build_gold, gold_summary, run_batch, run_layers, update_months
+from tripflow.plans.batch import (
+    build_gold,
+    build_quality,
+    gold_summary,
+    quality_report,
+    run_batch,
+    run_layers,
+    update_months,
+)
 from tripflow.plans.export import export_gold
-from tripflow.schema import BRONZE_TABLE, ROLLUP_TABLE, SILVER_TABLE, UNITS
+from tripflow.schema import BRONZE_TABLE, DIGEST_TABLE, QUALITY_TABLE, ROLLUP_TABLE, SILVER_TABLE, UNITS
 from tripflow.sources.derived import read_trips_over_months
 from tripflow.sources.tables import read_table
 from tripflow.sources.trips import read_raw_trips
@@ -83,8 +91,9 @@ def test_export(spark, result, output):
     assert set(vendor.columns) == set(result.gold["vendor_performance"].columns)
 
 
-def test_a_second_run_replaces_the_first(spark, result, raw, output):
-    again = run_batch(spark, raw, output=output)
+def test_a_second_run_replaces_the_first(spark, raw, tmp_path):
+    run_batch(spark, raw, output=str(tmp_path))
+    again = run_batch(spark, raw, output=str(tmp_path))
     assert again.bronze.count() == 10_000
     assert again.silver.count() == 5_284
 
@@ -107,7 +116,8 @@ def test_months_are_added_and_replaced(spark, raw, output, result, tmp_path, cap
     month = F.month("tpep_pickup_datetime")
     year = trips.select(F.year("tpep_pickup_datetime")).first()[0]
     run_layers(spark, trips.where(month <= 2).where((month == 1) | (F.col("VendorID") == 1)), str(tmp_path))
-    before = {name: _files(f"{tmp_path}/{name}") for name in (BRONZE_TABLE, SILVER_TABLE, ROLLUP_TABLE)}
+    layered = (BRONZE_TABLE, SILVER_TABLE, QUALITY_TABLE, ROLLUP_TABLE)
+    before = {name: _files(f"{tmp_path}/{name}") for name in layered}
     tables = update_months(spark, trips.where(month > 1), str(tmp_path), [(year, m) for m in (2, 3, 4)])
     for name, files in before.items():
         kept = {f for f in files if "month=1/" in f}
@@ -123,11 +133,46 @@ def test_months_are_added_and_replaced(spark, raw, output, result, tmp_path, cap
         near = {c: F.round(c, 6) for c, kind in whole.dtypes if kind == "double"}
         ours = table.select(whole.columns).withColumns(near)
         assert ours.exceptAll(whole.withColumns(near)).isEmpty() and ours.count() == whole.count()
+    assert _scores(quality_report(spark, str(tmp_path))) == _scores(result.quality)
+    quality_report(spark, str(tmp_path)).explain()
+    assert SILVER_TABLE not in capsys.readouterr().out
     silver = read_table(spark, f"{tmp_path}/{SILVER_TABLE}", months=[(year, 3)])
     silver.explain()
     assert "pickup_month#" in capsys.readouterr().out.split("PartitionFilters")[1]
 
 
+def _scores(report):
+    return {(r.position, r.metric): (r.score, r.status) for r in report.collect()}
+
+
+@pytest.mark.parametrize("over", [None, ["VendorID", "PULocationID"], ["pickup_year", "pickup_month", "VendorID"]])
+def test_quality_counts_are_kept_by_month(spark, raw, result, tmp_path, over):
+    """Rows that several months share count once, also after a month is replaced."""
+    output, trips = str(tmp_path), read_raw_trips(spark, raw)
+    month = F.month("tpep_pickup_datetime")
+    year = trips.select(F.year("tpep_pickup_datetime")).first()[0]
+    layers = run_layers(spark, trips.where(month <= 3).where((month != 2) | (F.col("VendorID") == 1)), output)
+    build_quality(spark, layers.silver, output, over)
+    update_months(spark, trips.where(month.isin(2, 4)), output, [(year, 2), (year, 4)])
+    whole = quality.graded(quality.quality_metrics(result.silver, over))
+    assert _scores(quality_report(spark, output)) == _scores(whole)
+    assert bool(_files(f"{output}/{DIGEST_TABLE}")) == (over == ["VendorID", "PULocationID"])
+    assert _files(f"{output}/{QUALITY_TABLE}")
+    build_quality(spark, read_table(spark, f"{output}/{SILVER_TABLE}"), output)
+    assert not _files(f"{output}/{DIGEST_TABLE}")
+
+
+def test_a_column_that_a_month_lacks(spark):
+    month = ("pickup_year", "pickup_month")
+    old = spark.createDataFrame([(2024, 1, 5), (2024, 1, None), (2024, 1, 5)], "pickup_year int, pickup_month int, a int")
+    new = spark.createDataFrame([(2024, 2, 5, 1)], "pickup_year int, pickup_month int, a int, b int")
+    counts = quality.monthly_counts(old, month).unionByName(quality.monthly_counts(new, month))
+    whole = quality.quality_metrics(old.unionByName(new, allowMissingColumns=True))
+    found = {r.metric: r.score for r in quality.merged_metrics(counts).collect()}
+    assert found == {r.metric: r.score for r in whole.collect()}
+    assert found["b_completeness"] == 0.25 and found["uniqueness"] == 0.75
+
+
 def test_months_are_checked_before_anything_is_replaced(spark, raw, tmp_path):
     trips = read_raw_trips(spark, raw)
     month = F.month("tpep_pickup_datetime")

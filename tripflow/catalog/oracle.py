@@ -456,5 +456,17 @@ SELECT 2, 'trip_distance', 'string', 'n/a' FROM trips WHERE trip_id % 3 = 2 AND
 SELECT * FROM trips
 WHERE NOT (trip_id % 3 = 1 AND trip_id % 101 = 0 AND passenger_count IS NOT NULL)
   AND NOT (trip_id % 3 = 1 AND trip_id % 103 = 0) AND NOT (trip_id % 3 = 2 AND trip_id % 107 = 0)""",
+    "dq_report_updated": _from_silver(
+        _graded(_rates("silver", _TRIP_COLUMNS + _FEATURE_NAMES + ["quality_score"], "*"))
+    ),
+    "dq_report_updated_zones": _from_silver(
+        _graded(
+            _rates(
+                "silver",
+                _TRIP_COLUMNS + _FEATURE_NAMES + ["quality_score"],
+                "VendorID, PULocationID, payment_type",
+            )
+        )
+    ),
     **{f"gold_updated_{key}": _from_silver(select) for key, select in _GOLD.items()},
 }

@@ -20,9 +20,11 @@ from tripflow.operators import bronze, gold, profile, quality, reports, silver
 from tripflow.plans.batch import (
     build_bronze,
     build_gold,
+    build_quality,
     build_silver,
     gold_paths,
     gold_summary,
+    quality_report,
     run_layers,
     update_months,
 )
@@ -460,27 +462,48 @@ def stream_summary_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_summary(spark, output)
 
 
-def gold_updated(table: gold.GoldTable) -> Query:
-    """A gold table of all months, built from two and brought up to date by the others.
+def _built_and_updated(
+    spark: SparkSession, sf_dir: str, unique_columns: Sequence[str] | None = None
+) -> str:
+    """Layers of all months, built from two and brought up to date by the others.
 
     The second month came with half of its trips at first, and is replaced.
     """
+    trips, output = _months(spark, sf_dir), scratch_path(spark, "updated")
+    month = F.month(PICKUP)
+    found = sorted(tuple(r) for r in trips.select(F.year(PICKUP), month).distinct().collect())
+    in_months = lambda months: F.struct(F.year(PICKUP), month).isin([F.struct(F.lit(y), F.lit(m)) for y, m in months])
+    first = trips.where(in_months(found[:2])).where((F.col("trip_id") % 2 == 0) | in_months(found[:1]))
+    silver_rows = build_silver(spark, build_bronze(spark, first, output), output)
+    build_quality(spark, silver_rows, output, unique_columns)
+    build_gold(spark, silver_rows, output, units=UNITS)
+    update_months(spark, trips.where(in_months(found[1:])), output, found[1:], units=UNITS)
+    return output
+
+
+def gold_updated(table: gold.GoldTable) -> Query:
+    """A gold table of all months, built from two and brought up to date by the others."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        trips, output = _months(spark, sf_dir), scratch_path(spark, "updated")
-        month = F.month(PICKUP)
-        found = sorted(tuple(r) for r in trips.select(F.year(PICKUP), month).distinct().collect())
-        in_months = lambda months: F.struct(F.year(PICKUP), month).isin([F.struct(F.lit(y), F.lit(m)) for y, m in months])
-        first = trips.where(in_months(found[:2])).where((F.col("trip_id") % 2 == 0) | in_months(found[:1]))
-        silver_rows = build_silver(spark, build_bronze(spark, first, output), output)
-        build_gold(spark, silver_rows, output, units=UNITS)
-        update_months(spark, trips.where(in_months(found[1:])), output, found[1:], units=UNITS)
+        output = _built_and_updated(spark, sf_dir)
         rows = read_table(spark, gold_paths(output)[table.name]).drop("processing_timestamp", "layer")
         return rounded(rows, *[name for name in rows.columns if name == "avg_speed"])
 
     return query
 
 
+def quality_updated(unique_columns: Sequence[str] | None) -> Query:
+    """The quality report of all months, from counts that were kept by month."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        report = quality_report(spark, _built_and_updated(spark, sf_dir, unique_columns))
+        rated = quality.completeness(_clean(spark, sf_dir))
+        rates = [*rated, quality.VALIDITY, quality.CONSISTENCY, quality.UNIQUENESS]
+        return report.where(F.col("metric").isin(rates)).select("metric", "score", "status")
+
+    return query
+
+
 def gold_input_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the gold layer says about silver rows that lack a key and a feature."""
     return gold.gold_input_report(_clean(spark, sf_dir).drop("VendorID", "quality_score"))
@@ -641,5 +664,7 @@ QUERIES: dict[str, Query] = {
     "gold_input_report": gold_input_report,
     "bronze_refused_values": bronze_refused_values,
     "bronze_accepted_rows": bronze_accepted_rows,
+    "dq_report_updated": quality_updated(None),
+    "dq_report_updated_zones": quality_updated(_UNIQUE_OVER),
     **{f"gold_updated_{key}": gold_updated(table) for key, table in _GOLD_KEYS.items()},
 }

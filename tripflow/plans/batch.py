@@ -17,7 +17,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from tripflow.operators import bronze, gold, quality, silver
-from tripflow.schema import BRONZE_TABLE, GOLD_FOLDER, PICKUP, ROLLUP_TABLE, SILVER_TABLE, TRIP_SCHEMA
+from tripflow.schema import (
+    BRONZE_TABLE,
+    DIGEST_TABLE,
+    GOLD_FOLDER,
+    PICKUP,
+    QUALITY_TABLE,
+    ROLLUP_TABLE,
+    SILVER_TABLE,
+    TRIP_SCHEMA,
+)
+from tripflow.sources.files import remove
 from tripflow.sources.tables import find_table, read_table, row_counts, write_months, write_table
 from tripflow.sources.trips import read_raw_trips, split_raw_trips
 
@@ -56,6 +66,56 @@ def build_silver(
     return read_table(spark, path, fmt)
 
 
+def build_quality(
+    spark: SparkSession,
+    silver_rows: DataFrame,
+    output: str,
+    unique_columns: Sequence[str] | None = None,
+) -> DataFrame:
+    """Counts by month below ``output``, and the metrics that follow from them.
+
+    :func:`update_months` replaces months of the counts; :func:`quality_report` reads them.
+    """
+    parts = _quality_parts(silver_rows, unique_columns)
+    for name, rows in parts.items():
+        write_table(rows, f"{output}/{name}", silver.PARTITIONS)
+    if DIGEST_TABLE not in parts:
+        remove(spark, f"{output}/{DIGEST_TABLE}")
+    return quality_report(spark, output)
+
+
+def quality_report(spark: SparkSession, output: str) -> DataFrame:
+    """(position, metric, score, status) of silver, without reading silver."""
+    counts = read_table(spark, f"{output}/{QUALITY_TABLE}")
+    digests = find_table(spark, f"{output}/{DIGEST_TABLE}")
+    return quality.graded(quality.merged_metrics(counts, digests))
+
+
+def _quality_parts(
+    silver_rows: DataFrame, unique_columns: Sequence[str] | None
+) -> dict[str, DataFrame]:
+    month = silver.PARTITIONS
+    parts = {QUALITY_TABLE: quality.monthly_counts(silver_rows, month, unique_columns)}
+    if not quality.month_decides(unique_columns, month):
+        parts[DIGEST_TABLE] = quality.monthly_digests(silver_rows, month, unique_columns)
+    return parts
+
+
+def _update_quality(
+    spark: SparkSession,
+    changed: DataFrame,
+    output: str,
+    months: Sequence[tuple[int, int]],
+    fmt: str,
+) -> None:
+    counts = find_table(spark, f"{output}/{QUALITY_TABLE}")
+    if counts is None:
+        build_quality(spark, read_table(spark, f"{output}/{SILVER_TABLE}", fmt), output)
+        return
+    for name, rows in _quality_parts(changed, counts.first().over).items():
+        write_months(rows, f"{output}/{name}", months, silver.PARTITIONS)
+
+
 def build_gold(
     spark: SparkSession,
     silver_rows: DataFrame,
@@ -107,9 +167,11 @@ def update_months(
     """Add or replace some months of all layers; the gold tables cover all months again.
 
     ``raw`` holds all trips of these months and no others: a trip of another month
-    raises, for its month would lose the rest. Bronze, silver and the rollup are written
-    for these months alone, and silver is read for these alone; the gold tables are
-    small and come whole from the rollup, which must have been built with the same units.
+    raises, for its month would lose the rest. Bronze, silver, the quality counts and the
+    rollup are written for these months alone, and silver is read for these alone; the gold
+    tables are small and come whole from the rollup, which must have been built with the same
+    units. :func:`quality_report` covers all months as well. Counts that silver does not have
+    yet are made of all its months.
     """
     wanted = [(F.year(PICKUP) == y) & (F.month(PICKUP) == m) for y, m in months]
     inside = F.coalesce(reduce(lambda a, b: a | b, wanted, F.lit(False)), F.lit(False))
@@ -124,6 +186,7 @@ def update_months(
     changed = read_table(spark, bronze_path, fmt, months, bronze.PARTITIONS)
     write_months(silver.silver_trips(changed), silver_path, months, silver.PARTITIONS, fmt)
     changed = read_table(spark, silver_path, fmt, months, silver.PARTITIONS)
+    _update_quality(spark, changed, output, months, fmt)
     write_months(gold.trip_rollup(changed, units), rollup_path, months, gold.MONTH)
     return _gold_tables(spark, output, fmt, units)
 
@@ -174,7 +237,7 @@ def run_layers(
 ) -> BatchResult:
     bronze_rows = build_bronze(spark, raw, output, fmt, rebalance)
     silver_rows = build_silver(spark, bronze_rows, output, fmt, rebalance)
-    grades = quality.graded(quality.quality_metrics(silver_rows))
+    grades = build_quality(spark, silver_rows, output)
     return BatchResult(
         bronze_rows, silver_rows, grades, build_gold(spark, silver_rows, output, fmt)
     )

@@ -61,6 +61,8 @@ BRONZE_TABLE = "bronze/yellow_taxi_trips"
 SILVER_TABLE = "silver/taxi_trips"
 GOLD_FOLDER = "gold"
 ROLLUP_TABLE = "rollup/trips"
+QUALITY_TABLE = "quality/counts"
+DIGEST_TABLE = "quality/digests"
 STREAM_FOLDER = "streaming_output"
 LATE_FOLDER = "streaming_late"
 CSV_FOLDER = "for_power_bi"
