@@ -370,6 +370,11 @@ FROM payment GROUP BY payment_type""",
     + " UNION ALL ".join(_described(column, quartiles=False) for column in _PROFILED),
     "profile_summary": f"WITH {_TRIPS}\n"
     + " UNION ALL ".join(_described(column, quartiles=True) for column in _NUMERIC),
+    "profile_quartiles_updated": f"WITH {_MONTHS}\n"
+    + " UNION ALL ".join(
+        f"SELECT column_name, q25, q50, q75 FROM ({_described(column, quartiles=True)})"
+        for column in _PROFILED
+    ),
     "profile_first_rows": f"WITH {_TRIPS} SELECT * FROM trips ORDER BY trip_id LIMIT 5",
     "stream_features": f"""WITH {_STREAM}
 SELECT trip_id, trip_duration_minutes, speed_mph, 'streaming' AS source FROM streamed""",

@@ -48,7 +48,7 @@ from tripflow.sources.derived import (
     stream_trips_of_events,
 )
 from tripflow.sources.scratch import scratch_path
-from tripflow.sources.tables import read_table, write_table
+from tripflow.sources.tables import read_table, write_months, write_table
 from tripflow.sources.trips import read_raw_trips, read_trip_file, split_raw_trips, stream_trips
 from tripflow.streaming import cells as stream_cells
 from tripflow.streaming import metrics as stream_metrics
@@ -389,6 +389,28 @@ def profile_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(profile.summary(trips, columns, units), "stddev", "q25", "q50", "q75")
 
 
+def profile_quartiles_updated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quartiles of all months, bracketed by sketches that were kept by month.
+
+    The sketches of the last month were made of half of its trips at first, and are replaced.
+    """
+    by_month = ("pickup_year", "pickup_month")
+    trips = _months(spark, sf_dir).withColumns(
+        {"pickup_year": F.year(PICKUP), "pickup_month": F.month(PICKUP)}
+    )
+    last = tuple(trips.agg(F.max(F.struct(*by_month))).first()[0])
+    of_last = (F.col("pickup_year") == last[0]) & (F.col("pickup_month") == last[1])
+    path = scratch_path(spark, "sketches")
+    before = trips.where(~of_last | (F.col("trip_id") % 2 == 0))
+    write_table(profile.quantile_sketches(before, PROFILED, by_month), path, by_month)
+    changed = profile.quantile_sketches(trips.where(of_last), PROFILED, by_month)
+    write_months(changed, path, [last], by_month)
+    found = profile.exact_quantiles(
+        trips, PROFILED, profile.QUARTILES, sketches=read_table(spark, path)
+    )
+    return rounded(found, *profile.QUARTILES)
+
+
 def profile_first_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _without_zone(profile.first_rows(_trips(spark, sf_dir), 5, ["trip_id"]))
 
@@ -641,6 +663,7 @@ QUERIES: dict[str, Query] = {
     "dash_payment_share": dash_payment_share,
     "profile_describe": profile_describe,
     "profile_summary": profile_summary,
+    "profile_quartiles_updated": profile_quartiles_updated,
     "profile_first_rows": profile_first_rows,
     "stream_features": stream_features,
     "stream_time_metrics": stream_time_metrics,
