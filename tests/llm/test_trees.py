@@ -259,3 +259,21 @@ def test_manifest_of_one_source(spark, count):
 def test_manifest_of_nothing_and_of_an_untouched_table(spark, edges, no_docs):
     assert merkle.manifest(no_docs, tampered=merkle.without_line_ends).count() == 0
     assert merkle.manifest(edges).where("verified").count() == len(EDGES)
+
+
+@pytest.mark.parametrize("tampered", [None, merkle.without_line_ends])
+def test_unchanged_leaves_are_folded_too(spark, monkeypatch, tampered):
+    """A false sibling in a proof is found by rows whose own leaf is as it was."""
+    docs = spark.createDataFrame([(i, "a b", "en", "web", 3) for i in range(20)], COLUMNS)
+    sound = merkle.manifest(docs, tampered=tampered, levels=1).collect()
+    assert len(sound) == 20 and all(r.verified for r in sound)
+
+    butterfly = merkle.butterfly
+
+    def bent(blocks, fanout):
+        return butterfly(blocks, fanout).withColumn("rights", F.transform("rights", lambda r: F.concat(r, F.lit("0"))))
+
+    monkeypatch.setattr(merkle, "butterfly", bent)
+    rows = merkle.manifest(docs, tampered=tampered, levels=1).collect()
+    assert {r.root for r in rows} == {r.root for r in sound}
+    assert len(rows) == 20 and not any(r.verified or r.folded_root == r.root for r in rows)

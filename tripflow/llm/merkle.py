@@ -265,9 +265,9 @@ def manifest(
     ``docs`` needs doc_id, source and ``columns``; others are ignored. Within a source
     (null is one, the first) leaves ascend by doc_id, null first, rows of one id by
     digest; equal rows are interchangeable and each is a leaf. ``tampered`` maps the
-    table to one as it may be found later; a proof is folded from the leaf found there
-    and the siblings of the true tree, and is verified if that gives the true root.
-    An empty table has no rows, hence no root.
+    table to one as it may be found later; the proof of every row, changed or not, is
+    folded from the leaf found there and the siblings of the true tree, and is verified
+    if that gives the true root. An empty table has no rows, hence no root.
     """
     true = docs.withColumn("__leaf", digest_of(columns))
     found = true if tampered is None else tampered(true)
@@ -275,7 +275,7 @@ def manifest(
         _group_key("source").alias("grp"),
         F.col("doc_id"),
         F.col("__leaf").alias("digest"),
-        F.nullif(digest_of(columns), F.col("__leaf")).alias("found"),
+        digest_of(columns).alias("found"),
     )
     # Texts are read here and never again; the sort samples what is written.
     leaves = placed(stored(leaves, "leaves"), "grp", ["doc_id", "digest"])
@@ -312,7 +312,7 @@ def manifest(
 
     def proof_of(head, row, above, path, below):
         root = head["root"]
-        reached = root if row["found"] is None else folded(row["found"], below() + path)
+        reached = folded(row["found"], below() + path)
         return {
             "doc_id": row["doc_id"],
             "leaf": row["digest"],
